@@ -15,8 +15,6 @@ collected array. ``T`` differs from 1 only for the first few hundred positions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Fixed value: centre of mass 9.5, so w = 1 - 1/(1 + 9.5).
 DECAY = 1.0 - 1.0 / 10.5
 HEAD = 400  # w**HEAD < 1e-17: T(HEAD) is 1 in double precision
@@ -30,22 +28,29 @@ def _head_weights() -> list[float]:
     return weights[::-1]
 
 
-HEAD_WEIGHTS = _head_weights()
+HEAD_WEIGHTS = "array({})".format(", ".join(f"{t!r}D" for t in _head_weights()))
+POWERS = "array({})".format(", ".join(f"{DECAY**k!r}D" for k in range(HEAD)))
+
+# SQL text rather than Column calls: wide jobs use these many times, and one
+# parsed string costs far less on the driver than a tree of Python calls.
 
 
-def head_weight(position: Column) -> Column:
+def head_weight(position: str) -> str:
     """T(position); positions below 1 belong to null values and get any weight."""
-    index = F.least(F.greatest(position, F.lit(1)), F.lit(HEAD)).cast("int")
-    return F.element_at(F.lit(HEAD_WEIGHTS), index)
+    return f"element_at({HEAD_WEIGHTS}, int(least(greatest({position}, 1), {HEAD})))"
 
 
-def tail_weight(rows_after: Column) -> Column:
-    return F.pow(F.lit(DECAY), rows_after)
+def tail_weight(rows_after: str) -> str:
+    """w^rows_after; a table serves all weights that matter, as pow is slow."""
+    return (
+        f"if({rows_after} < {HEAD}, element_at({POWERS}, int({rows_after}) + 1), "
+        f"pow({DECAY!r}D, {rows_after}))"
+    )
 
 
-def last_mean(tail_sum: Column, n: Column) -> Column:
-    return tail_sum * (1.0 - DECAY) / (1.0 - F.pow(F.lit(DECAY), n))
+def last_mean(tail_sum: str, n: str) -> str:
+    return f"{tail_sum} * {1.0 - DECAY!r}D / (1 - pow({DECAY!r}D, {n}))"
 
 
-def average_mean(head_sum: Column, tail_sum: Column, n: Column) -> Column:
-    return (head_sum - head_weight(n + 1) * tail_sum * DECAY) / n
+def average_mean(head_sum: str, tail_sum: str, n: str) -> str:
+    return f"({head_sum} - {head_weight(f'{n} + 1')} * {tail_sum} * {DECAY!r}D) / {n}"

@@ -11,10 +11,18 @@ SEASON_MONTHS = (1, 12)
 SEASON_LENGTH = 3
 
 
+def month_number(month: str) -> int:
+    """Months since year 0."""
+    return int(month[:4]) * 12 + int(month[5:]) - 1
+
+
+def month_number_sql(column: str) -> str:
+    return f"(int(substring({column}, 1, 4)) * 12 + int(substring({column}, 6, 2)) - 1)"
+
+
 def shift_month(month: str, months: int) -> str:
-    year, number = map(int, month.split("-"))
-    total = year * 12 + number - 1 + months
-    return f"{total // 12:04d}-{total % 12 + 1:02d}"
+    year, number = divmod(month_number(month) + months, 12)
+    return f"{year:04d}-{number + 1:02d}"
 
 
 @dataclass(frozen=True)

@@ -19,36 +19,36 @@ ORDERED_STATS = ("mean_ewm", "last_ewm", "avg_diff")
 FOLD_BLOCK = 4096
 
 
-def sample_skew(x: Column) -> Column:
+def sample_skew(x: str) -> str:
     """Bias-adjusted skew: null below three values, 0 for a constant series."""
-    n = F.count(x)
-    adjusted = F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0))
-    return F.when(n < 3, None).when(F.min(x) == F.max(x), 0.0).otherwise(adjusted)
+    n = f"count({x})"
+    adjusted = f"skewness({x}) * sqrt({n} * ({n} - 1)) / nullif({n} - 2, 0)"
+    return f"if({n} < 3, null, if(min({x}) = max({x}), 0D, {adjusted}))"
 
 
-def plain_stats(x: Column) -> dict[str, Column]:
+def plain_stats(x: str) -> dict[str, str]:
+    """SQL text of the statistics that do not depend on row order."""
     return {
-        "max": F.max(x),
-        "min": F.min(x),
-        "sum": F.coalesce(F.sum(x), F.lit(0.0)),
-        "mean": F.avg(x),
-        "count": F.count(x).cast("double"),
-        "std": F.stddev_samp(x),
+        "max": f"max({x})",
+        "min": f"min({x})",
+        "sum": f"coalesce(sum({x}), 0D)",
+        "mean": f"avg({x})",
+        "count": f"double(count({x}))",
+        "std": f"stddev_samp({x})",
         "skew": sample_skew(x),
     }
 
 
-def stat_columns(x: Column, j: Column, r: Column) -> dict[str, Column]:
+def all_stats(x: str = "x", j: str = "j", r: str = "r") -> dict[str, str]:
     """All ten statistics of a series whose nulls, if any, all come first."""
-    n = F.count(x)
-    head = F.sum(x * ewm.head_weight(j))
-    tail = F.sum(x * ewm.tail_weight(r))
-    first = F.max(F.when(j == 1, x))
-    last = F.max(F.when(r == 0, x))
+    n = f"count({x})"
+    head = f"sum({x} * {ewm.head_weight(j)})"
+    tail = f"sum({x} * {ewm.tail_weight(r)})"
+    ends = f"max(if({r} = 0, {x}, null)) - max(if({j} = 1, {x}, null))"
     return plain_stats(x) | {
-        "mean_ewm": F.when(n > 0, ewm.average_mean(head, tail, n)),
-        "last_ewm": F.when(n > 0, ewm.last_mean(tail, n)),
-        "avg_diff": F.when(n > 1, (last - first) / (n - 1)),
+        "mean_ewm": f"if({n} > 0, {ewm.average_mean(head, tail, n)}, null)",
+        "last_ewm": f"if({n} > 0, {ewm.last_mean(tail, n)}, null)",
+        "avg_diff": f"if({n} > 1, ({ends}) / ({n} - 1), null)",
     }
 
 
@@ -62,9 +62,7 @@ def summarise(
     a null there keeps decaying the weights and repeats the last mean. Pass
     None when the input has no such nulls.
     """
-    stats = long.groupBy(*keys).agg(
-        *(c.alias(n) for n, c in stat_columns(F.col("x"), F.col("j"), F.col("r")).items())
-    )
+    stats = long.groupBy(*keys).agg(*(F.expr(e).alias(n) for n, e in all_stats().items()))
     if gaps is None:
         return stats
     # __folded tells a folded null from a key that was not folded at all
