@@ -151,7 +151,9 @@ def frame_features(
     values = {v for f in frames for v in f.values}
     running = any(v in RUNNING_VALUES for v in values)
     diffs = any(v in DIFF_VALUES for v in values)
-    oldest = max((month_age(f.months.first, month) for f in frames if f.months.first), default=0)
+    bounds = {b for f in frames for b in (f.months.first, f.months.until) if b}
+    ages = sorted(month_age(b, month) for b in bounds)
+    oldest = ages[-1]
     whole = any(f.months.first is None for f in frames)
 
     history = history_before(log, month)
@@ -174,7 +176,6 @@ def frame_features(
         rows = rows.withColumn("order_ts", order_seconds(F.col("order_date")))
 
     # Rows of the customer older than each month a frame starts or ends at.
-    ages = sorted({month_age(b, month) for f in frames for b in (f.months.first, f.months.until) if b})
     older = {f"__older_{a}": F.expr(f"bigint(__age > {a})") for a in ages}
     null_check = " OR ".join(f"{m} IS NULL" for m in MEASURES)
     gaps = {"__nulls": F.expr(f"bigint({null_check})")} if facts.nulls else {}
@@ -250,9 +251,8 @@ def _frames_by_age(frames: Sequence[Frame], month: str, ages: Sequence[int]) ->
     lists = list(dict.fromkeys({f.slot: f for f in frames}[f.slot].values for f in frames))
     starts = [None if f.months.first is None else month_age(f.months.first, month) for f in frames]
     ends = [month_age(f.months.until, month) for f in frames]
-    beyond = max((s for s in starts if s is not None), default=0) + 1
     rows = []
-    for age in range(beyond + 1):
+    for age in range(ages[-1] + 2):
         inside = [
             f"struct({SPLITS.index(f.split)} AS split, {f.slot} AS slot, "
             f"{at[start]} AS first, {at[end]} AS until, {lists.index(f.values)} AS list)"

@@ -10,10 +10,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendcast.operators.quantiles import exact_quantiles, quantile_knots
-from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits
+from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
 
 KNOTS = 1000
 
@@ -23,13 +23,12 @@ def string_features(df: DataFrame, features: Sequence[str]) -> list[str]:
     return [c for c, t in df.dtypes if c in set(features) and t == "string"]
 
 
-def categorical_index(df: DataFrame, column: str) -> DataFrame:
-    """Add ``{column}_index``: the 1-based alphabetical place of each category.
-
-    The window runs over distinct categories, not rows.
-    """
+def categorical_index(
+    df: DataFrame, column: str, limits: ScanLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Add ``{column}_index``: the 1-based alphabetical place of each category."""
     categories = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    codes = categories.withColumn(f"{column}_index", F.row_number().over(Window.orderBy(column)))
+    codes = scan(categories, [], [column], position=f"{column}_index", limits=limits)
     return df.join(codes, column, "left")
 
 

@@ -50,7 +50,7 @@ def exact_quantiles(
     return found.selectExpr(
         "column",
         *(
-            f"{name}_lo + ({name}_hi - {name}_lo) * (((n - 1) * {p!r}D) % 1) AS `{name}`"
+            f"`{name}_lo` + (`{name}_hi` - `{name}_lo`) * (((n - 1) * {p!r}D) % 1) AS `{name}`"
             for name, p in probabilities.items()
         ),
     )
