@@ -157,7 +157,7 @@ SELECT split, name, first, strftime((last || '-01')::DATE + INTERVAL 1 MONTH, '%
     "first_customer_rows": f"WITH {LOG} SELECT {PRICE} FROM log WHERE customer_id = (SELECT min(customer_id) FROM log)",
     "alpha_codes": "SELECT DISTINCT code AS product_id FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE p_brand END AS code FROM part) WHERE regexp_full_match(code, '[A-Za-z]+')",
     "log_head": f"WITH {LOG} SELECT {PRICE} FROM (SELECT * FROM log ORDER BY {ORDER} LIMIT 5)",
-    "column_info": f"WITH {LOG}, d AS ({DETAILS}) SELECT "column", type, non_null FROM ("
+    "column_info": f"WITH {LOG}, d AS ({DETAILS}) SELECT * FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column, '{TYPES.get(c, 'double')}' AS type, count({c}) AS non_null FROM d"
         for c in (*COLUMNS, "country", "description", "year_month")
