@@ -307,11 +307,64 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "blend_3": rounding(blended(3)),
         "blend_4": rounding(blended(4)),
         # models (rows only)
-        **{name: query(models, training) for name, query in MODEL_QUERIES.items()},
+        "gbt_scores": lambda s, d: gbt_run(s, d)[1],
+        "oof_predictions": lambda s, d: gbt_run(s, d)[0].train,
+        "importance_mean": lambda s, d: evaluate.importance_mean(gbt_run(s, d)[0].importances),
+        "mlp_scores": mlp_scores,
+        "blend_files": blend_files,
+        "search_trials": search_trials,
+        "model_leaderboard": model_leaderboard,
+        "permutation_importance": permutation_importance,
     }
 
 
-MODEL_QUERIES: dict[str, Callable] = {}
+# Small learner settings: the checks run them on whole tables, several at a time.
+FOLDS, ROUNDS, DEPTH = 3, 5, 3
+
+
+def model_data(spark: SparkSession, folder: str, blocks=("seasons", "habits"), scaling=None):
+    table = features.feature_table(star_log(spark, folder), MONTH, THRESHOLD, blocks=blocks)
+    return training.model_input(table, folds=FOLDS, scaling=scaling)
+
+
+def gbt_run(spark: SparkSession, folder: str):
+    return training.train_and_score(
+        star_log(spark, folder), MONTH, THRESHOLD,
+        models.boosted_trees("leafwise", rounds=ROUNDS, depth=DEPTH),
+        keys=customers(spark, folder).selectExpr("c_custkey AS customer_id"),
+        folds=FOLDS, blocks=("seasons", "habits"),
+    )
+
+
+def mlp_scores(spark: SparkSession, folder: str) -> DataFrame:
+    data = model_data(spark, folder, ("habits",), "quantile")
+    network = models.perceptron(len(data.features), hidden=8, rounds=20)
+    result = models.out_of_fold(data.train, network, test=data.test, folds=FOLDS)
+    return evaluate.fold_average(result.test)
+
+
+def blend_files(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [scratch_folder(spark, f"member{i}") for i in range(3)]
+    for i, path in enumerate(paths):
+        tables.write_scores(member_scores(spark, folder, i), path)
+    return round_columns(training.blend_files(spark, paths, scratch_folder(spark, "blend")))
+
+
+def search_trials(spark: SparkSession, folder: str) -> DataFrame:
+    data = model_data(spark, folder, ("habits",))
+    build = lambda **params: models.boosted_trees(rounds=3, depth=2, **params)
+    return evaluate.top_trials(models.search_trials(data.train, build, trials=2, folds=FOLDS))
+
+
+def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
+    data = model_data(spark, folder, ("habits",))
+    return models.leaderboard(data.train, models.candidates(rounds=ROUNDS, depth=DEPTH), folds=FOLDS)
+
+
+def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    data = model_data(spark, folder, ("habits",))
+    model = models.boosted_trees(rounds=ROUNDS, depth=DEPTH).fit(data.train)
+    return models.permutation_importance(data.raw_train, data.features, model)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -235,6 +235,7 @@ FROM customer ORDER BY (c_custkey * 104729) % 997 DESC, c_custkey LIMIT 30""",
     "blend_2": blend(2),
     "blend_3": blend(3),
     "blend_4": blend(4),
+    "blend_files": blend(3),
 }
 
 _CONFUSION = """count(*) FILTER (WHERE score <= 0.5 AND label = 0) AS tn, count(*) FILTER (WHERE score > 0.5 AND label = 0) AS fp,

@@ -1,0 +1,252 @@
+"""Classifiers on feature tables, trained by Spark ML.
+
+The boosted variants keep the published settings of three gradient boosters
+where Spark's has the same knob: learning rate, row and column sampling, depth.
+"""
+
+from __future__ import annotations
+
+import random
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import (
+    GBTClassifier,
+    LinearSVC,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, functions as F
+
+from spendcast.operators.evaluate import auc, seeded_hash, stratified_folds
+from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
+from spendcast.session import cut_lineage
+
+# Learning rate, row sampling, column sampling, depth.
+BOOSTING = {
+    "ordered": (0.03571297756501696, 0.9867267702203111, 1.0, 6),
+    "leafwise": (0.06163827164757535, 0.8, 0.8, 5),
+    "levelwise": (0.06806593719106756, 0.9527699531356614, 0.6666816689708133, 5),
+}
+# Search ranges of the learning rate and the row sampling.
+SEARCH = {"learning_rate": (0.03, 0.07), "subsample": (0.5, 1.0)}
+
+
+def boosted_trees(
+    variant: str = "ordered",
+    *,
+    rounds: int = 100,
+    depth: int | None = None,
+    learning_rate: float | None = None,
+    subsample: float | None = None,
+    seed: int = 42,
+) -> GBTClassifier:
+    rate, rows, columns, default_depth = BOOSTING[variant]
+    return GBTClassifier(
+        stepSize=learning_rate or rate,
+        subsamplingRate=subsample or rows,
+        featureSubsetStrategy="all" if columns == 1.0 else str(columns),
+        maxDepth=depth or default_depth,
+        maxIter=rounds,
+        seed=seed,
+    )
+
+
+def perceptron(features: int, *, hidden: int = 16, rounds: int = 100, seed: int = 42):
+    """Neural member of the blend; meant for quantile-scaled features."""
+    return MultilayerPerceptronClassifier(
+        layers=[features, hidden, 2], maxIter=rounds, blockSize=64, seed=seed
+    )
+
+
+def candidates(rounds: int = 20, depth: int = 3, seed: int = 42) -> dict[str, Estimator]:
+    """Classifiers compared by the leaderboard."""
+    return {
+        "logistic_regression": LogisticRegression(maxIter=rounds, regParam=0.01),
+        "random_forest": RandomForestClassifier(numTrees=rounds, maxDepth=depth, seed=seed),
+        "boosted_trees": boosted_trees(rounds=rounds, depth=depth, seed=seed),
+        "linear_svc": LinearSVC(maxIter=rounds, regParam=0.01),
+    }
+
+
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Pack features into one vector column, keeping keys, label and fold.
+
+    Feature names hold characters the assembler reads as paths, so they are
+    numbered for it.
+    """
+    keep = [c for c in ("customer_id", "label", "fold") if c in df.columns]
+    numbered = df.selectExpr(*keep, *(f"double(`{c}`) AS f{i}" for i, c in enumerate(features)))
+    packer = VectorAssembler(inputCols=[f"f{i}" for i in range(len(features))], outputCol="features")
+    return packer.transform(numbered).select(*keep, "features")
+
+
+def score(model: Model, df: DataFrame) -> DataFrame:
+    """``customer_id[, label, fold], score``: the positive class's probability,
+    or its margin for models without probabilities."""
+    keep = [c for c in ("customer_id", "label", "fold") if c in df.columns]
+    column = "probability" if model.hasParam("probabilityCol") else "rawPrediction"
+    scored = model.transform(df)
+    return scored.select(*keep, vector_to_array(column)[1].alias("score"))
+
+
+@dataclass(frozen=True)
+class OutOfFold:
+    """Held-out scores of the train table, each fold model's scores of the test
+    table, and feature importances per fold (None for models without any)."""
+
+    train: DataFrame
+    test: DataFrame | None
+    importances: DataFrame | None
+    models: Sequence[Model]
+
+
+def out_of_fold(
+    train: DataFrame,
+    estimator: Estimator,
+    *,
+    test: DataFrame | None = None,
+    names: Sequence[str] | None = None,
+    folds: int = 10,
+    early_stop: bool = True,
+    parallelism: int = 4,
+) -> OutOfFold:
+    """Train one model per fold on the other folds and score what it has not seen.
+
+    ``train`` has ``customer_id, label, fold, features``. Tree boosting stops
+    early on the held-out fold unless ``early_stop`` is off.
+    """
+    stops = early_stop and estimator.hasParam("validationIndicatorCol")
+
+    def fit(fold: int) -> Model:
+        if stops:
+            marked = train.withColumn("held_out", F.col("fold") == fold)
+            return estimator.copy({estimator.validationIndicatorCol: "held_out"}).fit(marked)
+        return estimator.fit(train.filter(F.col("fold") != fold))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(fit, range(folds)))
+    held_out = [score(m, train.filter(F.col("fold") == i)) for i, m in enumerate(models)]
+    test_scores = None
+    if test is not None:
+        keys = test.select("customer_id", "features")
+        test_scores = reduce(
+            DataFrame.unionByName,
+            (
+                score(m, keys).select(
+                    "customer_id", F.lit(i).alias("fold"), F.col("score").alias("probability")
+                )
+                for i, m in enumerate(models)
+            ),
+        )
+    importances = None
+    if names and hasattr(models[0], "featureImportances"):
+        rows = [
+            (name, i, float(value))
+            for i, m in enumerate(models)
+            for name, value in zip(names, m.featureImportances.toArray())
+        ]
+        importances = train.sparkSession.createDataFrame(
+            rows, "feature string, fold int, importance double"
+        )
+    return OutOfFold(reduce(DataFrame.unionByName, held_out), test_scores, importances, models)
+
+
+def fold_table(
+    df: DataFrame, features: Sequence[str], folds: int = 10, seed: int = 42,
+    limits: ScanLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Train table with folds and a feature vector, cut from its lineage: the
+    learners read it many times."""
+    return cut_lineage(assemble(stratified_folds(df, folds, seed, limits=limits), features))
+
+
+def mean_auc(scores: DataFrame) -> float:
+    return auc(scores, ["fold"]).agg(F.avg("auc")).first()[0]
+
+
+def search_trials(
+    train: DataFrame,
+    build: Callable[..., Estimator],
+    *,
+    trials: int = 100,
+    folds: int = 10,
+    seed: int = 42,
+    ranges: Mapping[str, tuple[float, float]] = SEARCH,
+    parallelism: int = 4,
+) -> DataFrame:
+    """Random search: one row per trial with its parameters and mean fold AUC."""
+    draw = random.Random(seed)
+    rows = []
+    for trial in range(trials):
+        params = {name: draw.uniform(*limits) for name, limits in ranges.items()}
+        result = out_of_fold(train, build(**params), folds=folds, parallelism=parallelism)
+        rows.append((trial, *params.values(), mean_auc(result.train)))
+    schema = "trial int, " + ", ".join(f"{n} double" for n in ranges) + ", value double"
+    return train.sparkSession.createDataFrame(rows, schema)
+
+
+def tune(train: DataFrame, build: Callable[..., Estimator], **options) -> Estimator:
+    """The estimator with the best parameters a search finds."""
+    best = search_trials(train, build, **options).orderBy(F.desc("value"), "trial").first().asDict()
+    return build(**{k: v for k, v in best.items() if k not in ("trial", "value")})
+
+
+def leaderboard(
+    train: DataFrame, estimators: Mapping[str, Estimator], *, folds: int = 10, parallelism: int = 4
+) -> DataFrame:
+    """Mean fold AUC and pooled out-of-fold AUC per classifier, best first."""
+    rows = []
+    for name, estimator in estimators.items():
+        held_out = out_of_fold(train, estimator, folds=folds, parallelism=parallelism).train
+        rows.append((name, mean_auc(held_out), auc(held_out).first()["auc"]))
+    board = train.sparkSession.createDataFrame(rows, "model string, auc_fold_mean double, auc_pooled double")
+    return board.orderBy(F.desc("auc_fold_mean"), "model")
+
+
+def permutation_importance(
+    df: DataFrame,
+    features: Sequence[str],
+    model: Model,
+    *,
+    seed: int = 42,
+    batch: int = 16,
+    limits: ScanLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """AUC lost when a feature's values are dealt to other rows.
+
+    Rows get one seeded random order; each feature is then shifted along it by
+    its own random distance, so a shuffle is an equi-join on the position.
+    """
+    placed = cut_lineage(
+        scan(
+            df.withColumn("__hash", seeded_hash("customer_id", seed)), [], ["__hash", "customer_id"],
+            position="__rn", limits=limits,
+        ).drop("__hash")
+    )
+    n = placed.count()
+    base = auc(score(model, assemble(placed, features)), limits=limits).first()["auc"]
+    draw = random.Random(seed)
+    found = []
+    for start in range(0, len(features), batch):
+        shuffled = []
+        for name in features[start : start + batch]:
+            shift = draw.randrange(1, n) if n > 1 else 0
+            donor = placed.selectExpr(f"(__rn + {shift} - 1) % {n} + 1 AS __rn", f"`{name}` AS __new")
+            swapped = placed.join(donor, "__rn").withColumn(name, F.col("__new")).drop("__new")
+            scores = score(model, assemble(swapped, features))
+            shuffled.append(scores.select(F.lit(name).alias("feature"), "label", "score"))
+        found.append(auc(reduce(DataFrame.unionByName, shuffled), ["feature"], limits))
+    lost = reduce(DataFrame.unionByName, found)
+    return lost.select("feature", (F.lit(base) - F.col("auc")).alias("auc_drop"))
+
+
+def select_features(importances: DataFrame) -> list[str]:
+    """Features whose shuffling costs AUC."""
+    return [r["feature"] for r in importances.filter("auc_drop > 0").orderBy("feature").collect()]
