@@ -9,7 +9,7 @@ both splits and for every window.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,7 +25,7 @@ from spendcast.functions.months import (
     shift_month,
     trailing_windows,
 )
-from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
+from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, hot_keys, scan
 from spendcast.operators.series import STATS, summarise
 from spendcast.sources.log import MEASURES, row_order
 
@@ -93,18 +93,26 @@ def history_before(log: DataFrame, month: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class LogFacts:
-    """What planning needs to know of a history: its size and whether any
-    measure is null. One narrow job."""
+    """What planning needs to know of a history: its size, whether any measure
+    is null, and the keys too large for one task."""
 
     rows: int
     nulls: bool
+    hot: Mapping[str, DataFrame]
 
     @classmethod
-    def of(cls, history: DataFrame) -> LogFacts:
+    def of(
+        cls, history: DataFrame, keys: Iterable[str] = ("customer_id",),
+        limits: ScanLimits = DEFAULT_LIMITS,
+    ) -> LogFacts:
+        """One narrow pass; one more per key when the history outgrows a task."""
         counted = history.agg(
             F.count(F.lit(1)).alias("rows"), *(F.count(m).alias(m) for m in MEASURES)
         ).first()
-        return cls(counted["rows"], any(counted[m] < counted["rows"] for m in MEASURES))
+        rows = counted["rows"]
+        limit = limits.rows_per_task(rows)
+        hot = {k: hot_keys(history, [k], limit) for k in keys} if rows > limit else {}
+        return cls(rows, any(counted[m] < rows for m in MEASURES), hot)
 
 
 def running_sums(
@@ -112,28 +120,30 @@ def running_sums(
     keys: Iterable[str] = RUNNING_KEYS,
     *,
     limits: ScanLimits = DEFAULT_LIMITS,
-    row_count: int | None = None,
+    facts: LogFacts | None = None,
 ) -> DataFrame:
     """Running sums of the measures by customer, product and/or order.
 
     Rows whose key is null keep null sums.
     """
     order = row_order(log)
+    facts = facts or LogFacts.of(log, [RUNNING_KEYS[k] for k in keys], limits)
     for key in keys:
         column = RUNNING_KEYS[key]
         sums = {running_name(m, key): m for m in RUNNING_MEASURES}
-        log = scan(log, [column], order, sums=sums, limits=limits, row_count=row_count)
+        log = scan(
+            log, [column], order, sums=sums, limits=limits, row_count=facts.rows,
+            hot=facts.hot.get(column),
+        )
         log = log.withColumns({n: F.when(F.col(column).isNotNull(), F.col(n)) for n in sums})
     return log
 
 
-def consecutive_differences(
-    log: DataFrame, *, limits: ScanLimits = DEFAULT_LIMITS, row_count: int | None = None
-) -> DataFrame:
+def consecutive_differences(log: DataFrame, *, limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
     """Difference to the customer's previous row: time, quantity, price, total."""
     rows = log.withColumn("order_ts", order_seconds(F.col("order_date")))
     lags = {f"__lag_{c}": c for c in DIFF_COLUMNS}
-    placed = scan(rows, ["customer_id"], row_order(log), lags=lags, limits=limits, row_count=row_count)
+    placed = scan(rows, ["customer_id"], row_order(log), lags=lags, limits=limits)
     return placed.withColumns(
         {f"{c}_diff": F.col(c) - F.col(f"__lag_{c}") for c in DIFF_COLUMNS}
     ).drop(*lags)
@@ -161,8 +171,8 @@ def frame_features(
         # Positions only matter inside the windows, so older rows can go.
         history = history.filter(F.col("year_month") >= shift_month(month, -oldest))
     order = row_order(log)
-    facts = facts or LogFacts.of(history)
-    known = {"row_count": facts.rows, "limits": limits}
+    scanned = RUNNING_KEYS.values() if running else ("customer_id",)
+    facts = facts or LogFacts.of(history, scanned, limits)
     rows = history.select(
         "customer_id",
         F.expr(f"{month_number(month)} - {month_number_sql('year_month')}").alias("__age"),
@@ -171,7 +181,7 @@ def frame_features(
     if running:
         # The customer scan comes last: the aggregates below then need no
         # further shuffle.
-        rows = running_sums(rows, ("prod_id", "order_id"), **known)
+        rows = running_sums(rows, ("prod_id", "order_id"), limits=limits, facts=facts)
     if diffs:
         rows = rows.withColumn("order_ts", order_seconds(F.col("order_date")))
 
@@ -185,7 +195,9 @@ def frame_features(
         sums={running_name(m, "cust_id"): m for m in RUNNING_MEASURES} if running else {},
         lags={f"__lag_{c}": c for c in DIFF_COLUMNS} if diffs else {},
         totals=older | gaps,
-        **known,
+        row_count=facts.rows,
+        hot=facts.hot.get("customer_id"),
+        limits=limits,
     )
 
     in_frame = placed.selectExpr(

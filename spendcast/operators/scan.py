@@ -46,6 +46,7 @@ def scan(
     lags: Mapping[str, str] | None = None,
     totals: Mapping[str, Column] | None = None,
     row_count: int | None = None,
+    hot: DataFrame | None = None,
     limits: ScanLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Add ordered columns per key; an empty ``by`` scans the whole table.
@@ -54,7 +55,8 @@ def scan(
     running sum, null where the column is null. ``lags``: output -> column of
     the previous row. ``totals``: output -> numeric expression summed over the
     whole key. ``order`` must be a total order. ``row_count`` is an upper bound
-    of the number of rows, counted here when not given.
+    of the number of rows, counted here when not given; ``hot`` is what
+    ``hot_keys`` found, looked up here when not given.
     """
     sums, lags, totals = dict(sums or {}), dict(lags or {}), dict(totals or {})
     by, order = list(by), list(order)
@@ -76,8 +78,9 @@ def scan(
         return in_windows(rows, by)
 
     if by:
-        hot = hot_keys(rows, by, limit)
         if hot is None:
+            hot = hot_keys(rows, by, limit)
+        if hot.isEmpty():
             return in_windows(rows, by)
         match = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in by]
         condition = match[0]
@@ -90,57 +93,49 @@ def scan(
         cold_rows, hot_rows = None, rows
 
     pieces = 1 + 2 * row_count // limit
+    # One struct names a key's piece: it stays comparable when a key is null.
+    name = F.struct(*by, F.spark_partition_id().alias("piece"))
     split = cut_lineage(
-        hot_rows.repartitionByRange(pieces, *by, *order).withColumn(
-            PIECE, F.spark_partition_id()
-        )
+        hot_rows.repartitionByRange(pieces, *by, *order).withColumn(PIECE, name)
     )
     done = _carry(in_windows, split, by, order, position, sums, lags, totals)
     return done if cold_rows is None else in_windows(cold_rows, by).unionByName(done)
 
 
-def hot_keys(rows: DataFrame, by: Sequence[str], limit: int) -> DataFrame | None:
+def hot_keys(rows: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows; at most ``rows / limit`` of them."""
     counts = rows.groupBy(*by).count().filter(F.col("count") > limit).select(*by)
-    found = counts.collect()
-    if not found:
-        return None
-    return rows.sparkSession.createDataFrame(found, counts.schema)
+    return rows.sparkSession.createDataFrame(counts.collect(), counts.schema)
 
 
 def _carry(in_windows, split, by, order, position, sums, lags, totals) -> DataFrame:
     """Scan each piece of a hot key and add what the key's earlier pieces hold."""
     last = F.struct(*(F.col(c).alias(n) for n, c in lags.items()), F.lit(1).alias("__present"))
-    pieces = split.groupBy(*by, PIECE).agg(
+    pieces = split.groupBy(PIECE).agg(
         F.count(F.lit(1)).alias("__count"),
         *(F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()),
         *(F.sum(e).alias(f"__total_{n}") for n, e in totals.items()),
         F.max_by(last, F.struct(*order)).alias("__last"),
     )
-    earlier = Window.partitionBy(*by).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    previous = Window.partitionBy(*by).orderBy(PIECE)
+    key = Window.partitionBy(*(F.col(f"{PIECE}.{c}") for c in by))
+    ordered = key.orderBy(f"{PIECE}.piece")
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     carried = pieces.select(
-        *by,
         PIECE,
         F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__before"),
         *(
             F.coalesce(F.sum(f"__sum_{n}").over(earlier), F.lit(0)).alias(f"__sum_{n}")
             for n in sums
         ),
-        *(F.sum(f"__total_{n}").over(whole).alias(f"__total_{n}") for n in totals),
-        F.lag("__last").over(previous).alias("__last"),
+        *(F.sum(f"__total_{n}").over(key).alias(f"__total_{n}") for n in totals),
+        F.lag("__last").over(ordered).alias("__last"),
     )
-    keys = [*by, PIECE]
-    row_in_piece = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    local = in_windows(split, keys)
+    local = in_windows(split, [PIECE])
     if lags:
-        local = local.withColumn("__row", row_in_piece)
-    local, carried = local.alias("l"), carried.alias("c")
-    condition = F.col(f"l.{PIECE}") == F.col(f"c.{PIECE}")
-    for c in by:
-        condition = condition & F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}"))
-    joined = local.join(carried, condition)
+        local = local.withColumn(
+            "__row", F.row_number().over(Window.partitionBy(PIECE).orderBy(*order))
+        )
+    joined = local.alias("l").join(carried.alias("c"), PIECE)
     new = {*sums, *lags, *totals, *([position] if position else [])}
     out = [F.col(f"l.{c}") for c in split.columns if c != PIECE and c not in new]
     if position:
