@@ -27,7 +27,7 @@ from spendcast.functions.months import (
 )
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, hot_keys, scan
 from spendcast.operators.series import STATS, summarise
-from spendcast.sources.log import MEASURES, row_order
+from spendcast.sources.log import MEASURES, month_range, row_order
 
 SPLITS = ("train", "test")
 ITEMS = 16  # room for the value columns of one frame
@@ -88,7 +88,7 @@ def order_seconds(ts: Column) -> Column:
 
 def history_before(log: DataFrame, month: str) -> DataFrame:
     """Rows strictly before a month; rows without a customer or date never count."""
-    return log.filter(F.col("customer_id").isNotNull() & (F.col("year_month") < month))
+    return month_range(log, until=month).filter(F.col("customer_id").isNotNull())
 
 
 @dataclass(frozen=True)
@@ -169,7 +169,7 @@ def frame_features(
     history = history_before(log, month)
     if not whole:
         # Positions only matter inside the windows, so older rows can go.
-        history = history.filter(F.col("year_month") >= shift_month(month, -oldest))
+        history = month_range(history, first=shift_month(month, -oldest))
     order = row_order(log)
     scanned = RUNNING_KEYS.values() if running else ("customer_id",)
     facts = facts or LogFacts.of(history, scanned, limits)
@@ -305,50 +305,52 @@ def season_stats(log: DataFrame, month: str, keep: str = "right", **options) ->
 
 
 def distinct_counts(log: DataFrame, month: str) -> DataFrame:
-    """Distinct orders and products per customer, for both splits.
+    """Distinct orders and products per customer, columns ``{split}_{column}``.
 
     Pairs are grouped before customers, so a large customer is spread over all
     tasks; a pair counts for a split when it was first seen before its cutoff.
     """
-    history = history_before(log, month)
-    per_column = []
-    for c in ("order_id", "product_id"):
-        pairs = history.filter(F.col(c).isNotNull()).groupBy("customer_id", c).agg(
-            F.min("year_month").alias("first_month")
+    pairs = (
+        history_before(log, month)
+        .selectExpr(
+            "customer_id", "year_month",
+            "inline(array(struct(order_id, null AS product_id), struct(null AS order_id, product_id)))",
         )
-        per_column.append(
-            pairs.groupBy("customer_id").agg(
-                *(
-                    F.count_if(F.col("first_month") < cut).cast("double").alias(f"{split}_{c}")
-                    for split, cut in cutoffs(month).items()
-                )
-            )
+        .filter("order_id IS NOT NULL OR product_id IS NOT NULL")
+        .groupBy("customer_id", "order_id", "product_id")
+        .agg(F.min("year_month").alias("first_month"))
+    )
+    return pairs.groupBy("customer_id").agg(
+        *(
+            F.expr(f"double(count_if({c} IS NOT NULL AND first_month < '{cut}'))").alias(f"{split}_{c}")
+            for split, cut in cutoffs(month).items()
+            for c in ("order_id", "product_id")
         )
-    return per_column[0].join(per_column[1], "customer_id", "full")
+    )
 
 
-def with_distinct_counts(wide: DataFrame, log: DataFrame, month: str) -> DataFrame:
-    counted = wide.join(distinct_counts(log, month), "customer_id", "left")
-    return counted.withColumns(
-        {
-            f"{c}-nunique": F.coalesce(
-                F.when(F.col("split") == "train", F.col(f"train_{c}")).otherwise(F.col(f"test_{c}")),
-                F.lit(0.0),
-            )
-            for c in ("order_id", "product_id")
-        }
-    ).drop(*(f"{s}_{c}" for s in SPLITS for c in ("order_id", "product_id")))
+def by_split(columns: dict[str, str]) -> dict[str, Column]:
+    """Output -> ``{split}_{name}`` column of the row's own split."""
+    return {
+        out: F.expr(f"if(split = 'train', train_{name}, test_{name})") for out, name in columns.items()
+    }
+
+
+DISTINCT_COLUMNS = {"order_id-nunique": "order_id", "product_id-nunique": "product_id"}
+SPAN_COLUMNS = {"order_ts-first": "first", "order_ts-last": "last"}
 
 
 def cumsum_features(log: DataFrame, month: str, **options) -> DataFrame:
     """Statistics of the running sums, with distinct order and product counts."""
     wide = frame_features(log, month, history_frames(month, RUNNING_VALUES), **options)
-    return with_distinct_counts(wide, log, month)
+    counts = distinct_counts(log, month)
+    joined = wide.join(counts, "customer_id", "left").withColumns(by_split(DISTINCT_COLUMNS))
+    return joined.drop(*(c for c in counts.columns if c != "customer_id"))
 
 
 def order_span(log: DataFrame, month: str) -> DataFrame:
-    """First and last order time per customer and split. Time leads the row
-    order, so first and last are minimum and maximum."""
+    """First and last order time per customer, columns ``{split}_first/last``.
+    Time leads the row order, so first and last are minimum and maximum."""
     ts = order_seconds(F.col("order_date"))
     return (
         history_before(log, month)
@@ -363,18 +365,9 @@ def order_span(log: DataFrame, month: str) -> DataFrame:
     )
 
 
-def with_order_span(wide: DataFrame, log: DataFrame, month: str) -> DataFrame:
-    spans = wide.join(order_span(log, month), "customer_id", "left")
-    train = F.col("split") == "train"
-    return spans.withColumns(
-        {
-            f"order_ts-{n}": F.when(train, F.col(f"train_{n}")).otherwise(F.col(f"test_{n}"))
-            for n in ("first", "last")
-        }
-    ).drop(*(f"{s}_{n}" for s in SPLITS for n in ("first", "last")))
-
-
 def diff_features(log: DataFrame, month: str, **options) -> DataFrame:
     """First and last order time, and statistics of consecutive differences."""
     wide = frame_features(log, month, history_frames(month, DIFF_VALUES), **options)
-    return with_order_span(wide, log, month)
+    span = order_span(log, month)
+    joined = wide.join(span, "customer_id", "left").withColumns(by_split(SPAN_COLUMNS))
+    return joined.drop(*(c for c in span.columns if c != "customer_id"))

@@ -6,20 +6,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.functions.bands import spend_band
 from spendcast.functions.months import cutoffs, shift_month
+from spendcast.operators.blocks import order_seconds
+from spendcast.sources.log import month_range
 
 THRESHOLD = 300.0
 
 
-def customer_month_totals(log: DataFrame) -> DataFrame:
-    """Summed total per customer and month; a month of null totals sums to 0."""
+def customer_months(log: DataFrame) -> DataFrame:
+    """Summed total and order span per customer and month. A month of null
+    totals sums to 0."""
     known = F.col("customer_id").isNotNull() & F.col("year_month").isNotNull()
     return (
         log.filter(known)
         .groupBy("customer_id", "year_month")
-        .agg(F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"))
+        .agg(
+            F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"),
+            F.min("order_date").alias("first"),
+            F.max("order_date").alias("last"),
+        )
     )
 
 
+def customer_month_totals(log: DataFrame) -> DataFrame:
+    return customer_months(log).select("customer_id", "year_month", "total")
+
+
 def label_month(log: DataFrame, month: str, threshold: float = THRESHOLD) -> DataFrame:
     """Every customer seen before the month, with the month's spend and whether
     it exceeds the threshold (strictly). No purchase counts as spend 0.
@@ -28,7 +39,8 @@ def label_month(log: DataFrame, month: str, threshold: float = THRESHOLD) -> Dat
     """
     in_month = F.col("year_month") == month
     spent = (
-        log.filter(F.col("customer_id").isNotNull() & (F.col("year_month") <= month))
+        month_range(log, until=shift_month(month, 1))
+        .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
             F.min("year_month").alias("first_month"),
@@ -68,20 +80,21 @@ def habits(totals: DataFrame, cutoff: str, threshold: float = THRESHOLD) -> Data
     )
 
 
-def labels_and_habits(
-    totals: DataFrame, month: str, label_threshold: float, habit_threshold: float
+def customer_summary(
+    months: DataFrame, month: str, label_threshold: float, habit_threshold: float
 ) -> DataFrame:
-    """Label and habits of both splits, one row per customer, columns
+    """Label, habits and order span of both splits, one row per customer, columns
     ``{split}_{name}``; ``{split}_label`` is null when the split has no history."""
     columns = []
     for split, cut in cutoffs(month).items():
+        seen = F.col("year_month") < cut
         spend = F.coalesce(F.sum(F.when(F.col("year_month") == cut, F.col("total"))), F.lit(0.0))
         label = F.when(F.min("year_month") < cut, (spend > label_threshold).cast("int"))
         columns.append(label.alias(f"{split}_label"))
-        columns += [
-            c.alias(f"{split}_{n}") for n, c in _habits(cut, habit_threshold).items()
-        ]
-    return totals.filter(F.col("year_month") <= month).groupBy("customer_id").agg(*columns)
+        columns += [c.alias(f"{split}_{n}") for n, c in _habits(cut, habit_threshold).items()]
+        for name, f in (("first", F.min), ("last", F.max)):
+            columns.append(order_seconds(f(F.when(seen, F.col(name)))).alias(f"{split}_{name}"))
+    return months.groupBy("customer_id").agg(*columns)
 
 
 def spend_bands(totals: DataFrame, cutoff: str) -> DataFrame:

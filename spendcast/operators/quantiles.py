@@ -1,8 +1,4 @@
-"""Exact quantiles without gathering a column in one place.
-
-Values are counted first (map-side), then the counts are cumulated in value
-order by the skew-safe scan; a quantile is a lookup in that table.
-"""
+"""Exact quantiles without gathering a column in one place."""
 
 from __future__ import annotations
 
@@ -24,6 +20,7 @@ def value_ranks(
 ) -> DataFrame:
     """Distinct values with their ranks: ``column, value, count, upto, previous, n``.
 
+    Values are counted first (map-side), then cumulated by the skew-safe scan.
     A value holds the 0-based ranks ``upto - count`` to ``upto - 1`` of ``n``.
     """
     counts = unpivot(df, columns).groupBy("column", "value").count()
@@ -33,13 +30,99 @@ def value_ranks(
     )
 
 
+SKETCH_ACCURACY = 10_000
+COUNT_ALL_BELOW = 100_000
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: dict[str, float],
     limits: ScanLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Linearly interpolated quantiles, one row per column."""
+    """Linearly interpolated quantiles, one row per column.
+
+    Two narrow passes, neither of which shuffles the rows: sketches bracket
+    each quantile, then only values inside a bracket are told apart while the
+    rest are counted. Columns of few rows skip the sketch. Should a bracket
+    miss, its column is ranked in full.
+    """
+    names = list(probabilities)
+    brackets = _brackets(df, columns, probabilities)
+    wanted = [
+        f"if(`{c}` <= {_bound(hi)}, struct({i} AS column, {k} AS quantile, "
+        f"if(`{c}` < {_bound(lo)}, null, double(`{c}`)) AS value), null)"
+        for i, c in enumerate(columns)
+        for k, (lo, hi) in enumerate(brackets[c][1])
+        if brackets[c][0]
+    ]
+    found: dict[tuple[int, int], float] = {}
+    if wanted:
+        counts = (
+            df.selectExpr(f"explode(array({', '.join(wanted)})) AS e")
+            .filter("e IS NOT NULL")
+            .selectExpr("e.*")
+            .groupBy("column", "quantile", "value")
+            .count()
+        )
+        ranks = scan(
+            counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits
+        )
+        sizes = "array({})".format(", ".join(f"{brackets[c][0]}L" for c in columns))
+        levels = "array({})".format(", ".join(f"{probabilities[n]!r}D" for n in names))
+        at = f"(({sizes}[column] - 1) * {levels}[quantile])"
+        ends = ranks.selectExpr("*", f"{at} AS place").groupBy("column", "quantile").agg(
+            F.expr("max(if(value IS NULL, upto, 0)) <= floor(max(place))").alias("hit"),
+            F.expr("min(if(upto > floor(place), value, null))").alias("lo"),
+            F.expr("min(if(upto > ceil(place), value, null))").alias("hi"),
+            F.expr("max(place) % 1").alias("part"),
+        )
+        for r in ends.collect():
+            if r["hit"] and r["lo"] is not None and r["hi"] is not None:
+                found[r["column"], r["quantile"]] = r["lo"] + (r["hi"] - r["lo"]) * r["part"]
+    missed = [
+        c for i, c in enumerate(columns)
+        if brackets[c][0] and any((i, k) not in found for k in range(len(names)))
+    ]
+    values = {c: [found.get((i, k)) for k in range(len(names))] for i, c in enumerate(columns)}
+    if missed:
+        for r in ranked_quantiles(df, missed, probabilities, limits).collect():
+            values[r["column"]] = [r[n] for n in names]
+    schema = "column string, " + ", ".join(f"`{n}` double" for n in names)
+    return df.sparkSession.createDataFrame([(c, *values[c]) for c in columns], schema)
+
+
+def _bound(value: float) -> str:
+    return f"double('{value!r}')"
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], probabilities: dict[str, float]
+) -> dict[str, tuple[int, list[tuple[float, float]]]]:
+    """Row count per column and a value range sure to hold each quantile."""
+    slack = 2 / SKETCH_ACCURACY
+    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities.values() for d in (-slack, slack)]
+    sketch = f"percentile_approx(double({{c}}), array({', '.join(f'{e!r}D' for e in edges)}), {SKETCH_ACCURACY})"
+    row = df.agg(
+        *(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)),
+        *(F.expr(sketch.format(c=f"`{c}`")).alias(f"e{i}") for i, c in enumerate(columns)),
+    ).first()
+    found = {}
+    for i, c in enumerate(columns):
+        n, e = row[f"n{i}"], row[f"e{i}"]
+        everything = n < COUNT_ALL_BELOW or e is None
+        found[c] = n, [
+            (float("-inf"), float("inf")) if everything else (e[2 * k], e[2 * k + 1])
+            for k in range(len(probabilities))
+        ]
+    return found
+
+
+def ranked_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: dict[str, float],
+    limits: ScanLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """The same quantiles from the ranks of all distinct values."""
     ranks = value_ranks(df, columns, limits)
     ends = []
     for name, p in probabilities.items():

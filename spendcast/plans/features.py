@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from spendcast.functions.months import cutoffs
+from spendcast.functions.months import cutoffs, shift_month
 from spendcast.operators import blocks as B
-from spendcast.operators.labels import THRESHOLD, customer_month_totals, labels_and_habits
+from spendcast.operators.labels import THRESHOLD, customer_months, customer_summary
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits
+from spendcast.sources.log import month_range
 
 BLOCKS = ("windows", "seasons", "running", "differences", "habits")
 
@@ -51,39 +52,37 @@ def feature_table(
     """
     if habit_threshold is None:
         habit_threshold = threshold
-    base = labels_and_habits(customer_month_totals(log), month, threshold, habit_threshold)
-    splits = list(cutoffs(month))
+    months = customer_months(month_range(log, until=shift_month(month, 1)))
+    base = customer_summary(months, month, threshold, habit_threshold)
+    chosen = {"label": "label"} | ({n: n for n in HABITS} if "habits" in blocks else {})
+    if "running" in blocks:
+        base = base.join(B.distinct_counts(log, month), "customer_id", "left")
+        chosen |= B.DISTINCT_COLUMNS
+    if "differences" in blocks:
+        chosen |= B.SPAN_COLUMNS
+
     frames = block_frames(month, blocks)
-    if frames:
-        wide = B.frame_features(log, month, frames, limits=limits)
-        if "seasons" in blocks:
-            wide = B.keep_seasons(wide, keep)
-        if "running" in blocks:
-            wide = B.with_distinct_counts(wide, log, month)
-        if "differences" in blocks:
-            wide = B.with_order_span(wide, log, month)
+    wide = B.frame_features(log, month, frames, limits=limits) if frames else None
+    if "seasons" in blocks:
+        wide = B.keep_seasons(wide, keep)
+    if any(f.months.first is None for f in frames):
+        # Every labelled customer has a history, so the wide rows are the right
+        # ones already and join on the key they are partitioned by.
+        joined = wide.join(base, "customer_id")
     else:
-        wide = None
-
-    names = ["label", *(HABITS if "habits" in blocks else ())]
-    per_split = base.select(
-        "customer_id",
-        F.inline(
-            F.array(
-                *(
-                    F.struct(F.lit(s).alias("split"), *(F.col(f"{s}_{n}").alias(n) for n in names))
-                    for s in splits
-                )
-            )
-        ),
-    ).filter(F.col("label").isNotNull())
-    joined = per_split if wide is None else per_split.join(wide, ["customer_id", "split"], "left")
-    features = [c for c in joined.columns if c not in ("customer_id", "split", "label")]
-    months = cutoffs(month)
+        rows = ", ".join(f"'{s}'" for s in cutoffs(month))
+        joined = base.selectExpr("*", f"explode(array({rows})) AS split").filter(
+            "if(split = 'train', train_label, test_label) IS NOT NULL"
+        )
+        if wide is not None:
+            joined = joined.join(wide, ["customer_id", "split"], "left")
+    ids = ("customer_id", "split", *(c for c in base.columns))
+    features = [] if wide is None else [c for c in wide.columns if c not in ids]
+    cut = cutoffs(month)
     return joined.selectExpr(
         "customer_id",
         "split",
-        f"if(split = 'train', '{months['train']}', '{months['test']}') AS year_month",
-        "label",
+        f"if(split = 'train', '{cut['train']}', '{cut['test']}') AS year_month",
+        *(f"if(split = 'train', train_{n}, test_{n}) AS `{out}`" for out, n in chosen.items()),
         *(f"`{c}`" for c in features),
     ).na.fill(0.0)
