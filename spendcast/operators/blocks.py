@@ -158,6 +158,23 @@ def frame_features(
     facts: LogFacts | None = None,
 ) -> DataFrame:
     """Wide statistics ``(customer_id, split, ...)`` of the given frames."""
+    packed, columns = packed_features(log, month, frames, limits=limits, facts=facts)
+    return packed.selectExpr(
+        "customer_id", "split", *(f"{e} AS `{name}`" for name, e in columns.items())
+    )
+
+
+def packed_features(
+    log: DataFrame,
+    month: str,
+    frames: Sequence[Frame],
+    *,
+    limits: ScanLimits = DEFAULT_LIMITS,
+    facts: LogFacts | None = None,
+) -> tuple[DataFrame, dict[str, str]]:
+    """``(customer_id, split, m)`` with all statistics in one map, and the SQL
+    that reads each feature from it. Joins then move one column, not hundreds.
+    """
     values = {v for f in frames for v in f.values}
     running = any(v in RUNNING_VALUES for v in values)
     diffs = any(v in DIFF_VALUES for v in values)
@@ -242,11 +259,12 @@ def frame_features(
     wide = stats.groupBy("customer_id", "split").agg(
         F.expr(f"map_from_entries(collect_list({entry}))").alias("m")
     )
-    return wide.selectExpr(
-        "customer_id",
-        "if(split = 0, '{}', '{}') AS split".format(*SPLITS),
-        *(f"m[{k}].{s} AS `{v}-{s}{suffix}`" for k, (v, suffix) in names.items() for s in STATS),
+    packed = wide.selectExpr(
+        "customer_id", "if(split = 0, '{}', '{}') AS split".format(*SPLITS), "m"
     )
+    return packed, {
+        f"{v}-{s}{suffix}": f"m[{k}].{s}" for k, (v, suffix) in names.items() for s in STATS
+    }
 
 
 def month_age(earlier: str, month: str) -> int:
@@ -281,27 +299,29 @@ def window_stats(log: DataFrame, month: str, **options) -> DataFrame:
     return frame_features(log, month, window_frames(month), **options)
 
 
-def keep_seasons(wide: DataFrame, keep: str) -> DataFrame:
+def keep_seasons(columns: dict[str, str], keep: str) -> dict[str, str]:
     """``right``: values of the recent season count only for customers who were
     also active in the year-ago season. ``outer`` keeps them."""
     if keep not in ("right", "outer"):
         raise ValueError("keep must be 'right' or 'outer'")
     if keep == "outer":
-        return wide
-    return wide.selectExpr(
-        *(
-            f"if(`total-sum-season1` IS NOT NULL, `{c}`, null) AS `{c}`"
-            if c.endswith("-season0")
-            else f"`{c}`"
-            for c in wide.columns
-        )
-    )
+        return columns
+    active = f"{columns['total-sum-season1']} IS NOT NULL"
+    return {
+        name: f"if({active}, {e}, null)" if name.endswith("-season0") else e
+        for name, e in columns.items()
+    }
 
 
 def season_stats(log: DataFrame, month: str, keep: str = "right", **options) -> DataFrame:
     """Statistics of the last three months and the same months a year before."""
-    wide = keep_seasons(frame_features(log, month, season_frames(month), **options), keep)
-    return wide if keep == "outer" else wide.filter(F.col("`total-sum-season1`").isNotNull())
+    packed, columns = packed_features(log, month, season_frames(month), **options)
+    kept = keep_seasons(columns, keep)
+    if keep == "right":
+        packed = packed.filter(f"{columns['total-sum-season1']} IS NOT NULL")
+    return packed.selectExpr(
+        "customer_id", "split", *(f"{e} AS `{name}`" for name, e in kept.items())
+    )
 
 
 def distinct_counts(log: DataFrame, month: str) -> DataFrame:
@@ -313,16 +333,16 @@ def distinct_counts(log: DataFrame, month: str) -> DataFrame:
     pairs = (
         history_before(log, month)
         .selectExpr(
-            "customer_id", "year_month",
+            "customer_id", f"{month_number_sql('year_month')} AS month",
             "inline(array(struct(order_id, null AS product_id), struct(null AS order_id, product_id)))",
         )
         .filter("order_id IS NOT NULL OR product_id IS NOT NULL")
         .groupBy("customer_id", "order_id", "product_id")
-        .agg(F.min("year_month").alias("first_month"))
+        .agg(F.min("month").alias("first_month"))  # a number, so it can hash-aggregate
     )
     return pairs.groupBy("customer_id").agg(
         *(
-            F.expr(f"double(count_if({c} IS NOT NULL AND first_month < '{cut}'))").alias(f"{split}_{c}")
+            F.expr(f"double(count_if({c} IS NOT NULL AND first_month < {month_number(cut)}))").alias(f"{split}_{c}")
             for split, cut in cutoffs(month).items()
             for c in ("order_id", "product_id")
         )

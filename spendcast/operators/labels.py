@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.functions.bands import spend_band
-from spendcast.functions.months import cutoffs, shift_month
+from spendcast.functions.months import cutoffs, month_number, month_number_sql, shift_month
 from spendcast.operators.blocks import order_seconds
 from spendcast.sources.log import month_range
 
@@ -43,10 +43,10 @@ def label_month(log: DataFrame, month: str, threshold: float = THRESHOLD) -> Dat
         .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
-            F.min("year_month").alias("first_month"),
+            F.count_if(F.col("year_month") < month).alias("earlier"),
             F.coalesce(F.sum(F.when(in_month, F.col("total"))), F.lit(0.0)).alias("total"),
         )
-        .filter(F.col("first_month") < month)
+        .filter(F.col("earlier") > 0)
     )
     return spent.select(
         "customer_id",
@@ -89,7 +89,7 @@ def customer_summary(
     for split, cut in cutoffs(month).items():
         seen = F.col("year_month") < cut
         spend = F.coalesce(F.sum(F.when(F.col("year_month") == cut, F.col("total"))), F.lit(0.0))
-        label = F.when(F.min("year_month") < cut, (spend > label_threshold).cast("int"))
+        label = F.when(F.count_if(seen) > 0, (spend > label_threshold).cast("int"))
         columns.append(label.alias(f"{split}_label"))
         columns += [c.alias(f"{split}_{n}") for n, c in _habits(cut, habit_threshold).items()]
         for name, f in (("first", F.min), ("last", F.max)):
@@ -112,19 +112,18 @@ def recency_score(log: DataFrame, month: str) -> DataFrame:
     Years do not count (13 months score as 1), and the test split also measures
     from the month before the target, where a purchase scores 24.
     """
-    previous = shift_month(month, -1)
-    base = int(previous[:4]) * 12 + int(previous[5:]) - 1
-    pieces = []
+    base = month_number(shift_month(month, -1))
+    bought = F.expr(month_number_sql("year_month"))
     last = log.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         *(
-            F.max(F.when(F.col("year_month") < cut, F.col("year_month"))).alias(split)
+            F.max(F.when(F.col("year_month") < cut, bought)).alias(split)
             for split, cut in cutoffs(month).items()
         )
     )
-    for split in cutoffs(month):
-        year, number = F.substring(split, 1, 4).cast("int"), F.substring(split, 6, 2).cast("int")
-        since = F.lit(base) - (year * 12 + number - 1)
-        pieces.append(F.struct(F.lit(split).alias("split"), (24 - since % 12).alias("score")))
-    return last.select("customer_id", F.inline(F.array(*pieces))).filter(
-        F.col("score").isNotNull()
-    ).withColumnRenamed("score", "last_month_shopping")
+    pieces = ", ".join(
+        f"struct('{s}' AS split, 24 - ({base} - {s}) % 12 AS last_month_shopping)"
+        for s in cutoffs(month)
+    )
+    return last.selectExpr("customer_id", f"inline(array({pieces}))").filter(
+        "last_month_shopping IS NOT NULL"
+    )

@@ -65,8 +65,10 @@ def exact_quantiles(
             .groupBy("column", "quantile", "value")
             .count()
         )
+        most = sum(brackets[c][0] for c in columns) * len(names)
         ranks = scan(
-            counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits
+            counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits,
+            row_count=most if most <= limits.group_rows else None,
         )
         sizes = "array({})".format(", ".join(f"{brackets[c][0]}L" for c in columns))
         levels = "array({})".format(", ".join(f"{probabilities[n]!r}D" for n in names))

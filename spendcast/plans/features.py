@@ -62,9 +62,11 @@ def feature_table(
         chosen |= B.SPAN_COLUMNS
 
     frames = block_frames(month, blocks)
-    wide = B.frame_features(log, month, frames, limits=limits) if frames else None
+    wide, columns = (
+        B.packed_features(log, month, frames, limits=limits) if frames else (None, {})
+    )
     if "seasons" in blocks:
-        wide = B.keep_seasons(wide, keep)
+        columns = B.keep_seasons(columns, keep)
     if any(f.months.first is None for f in frames):
         # Every labelled customer has a history, so the wide rows are the right
         # ones already and join on the key they are partitioned by.
@@ -76,13 +78,14 @@ def feature_table(
         )
         if wide is not None:
             joined = joined.join(wide, ["customer_id", "split"], "left")
-    ids = ("customer_id", "split", *(c for c in base.columns))
-    features = [] if wide is None else [c for c in wide.columns if c not in ids]
     cut = cutoffs(month)
     return joined.selectExpr(
         "customer_id",
         "split",
         f"if(split = 'train', '{cut['train']}', '{cut['test']}') AS year_month",
-        *(f"if(split = 'train', train_{n}, test_{n}) AS `{out}`" for out, n in chosen.items()),
-        *(f"`{c}`" for c in features),
-    ).na.fill(0.0)
+        *(
+            f"if(split = 'train', coalesce(train_{n}, 0), coalesce(test_{n}, 0)) AS `{out}`"
+            for out, n in chosen.items()
+        ),
+        *(f"coalesce({e}, 0D) AS `{name}`" for name, e in columns.items()),
+    )
