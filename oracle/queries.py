@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from oracle.sql import (
-    CUTS, DIFF_NAMES, DIFF_SQL, DIFFS, DISTINCT, HABIT_COLUMNS, HABITS, LABELS, LOG, MEASURES,
+    DIFF_NAMES, DIFF_SQL, DIFFS, DISTINCT, HABIT_COLUMNS, HABITS, LABELS, LOG, MEASURES,
     MONTH, ORDER, PREVIOUS, RUNNING, RUNNING_NAMES, RUNNING_SQL, SEASON_NAMES, SPAN, STATS,
-    THRESHOLD, TOTALS, WINDOW_NAMES, feature_table, frame_elements, history_elements, pivot,
+    TOTALS, WINDOW_NAMES, feature_table, frame_elements, history_elements, pivot,
     round_all, rounded, season_frames, stats, wide, window_frames,
 )
 

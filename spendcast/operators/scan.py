@@ -110,12 +110,15 @@ def hot_keys(rows: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
 
 def _carry(in_windows, split, by, order, position, sums, lags, totals) -> DataFrame:
     """Scan each piece of a hot key and add what the key's earlier pieces hold."""
-    last = F.struct(*(F.col(c).alias(n) for n, c in lags.items()), F.lit(1).alias("__present"))
+    last = []
+    if lags:
+        values = F.struct(*(F.col(c).alias(n) for n, c in lags.items()))
+        last = [F.max_by(values, F.struct(*order)).alias("__last")]
     pieces = split.groupBy(PIECE).agg(
         F.count(F.lit(1)).alias("__count"),
         *(F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()),
         *(F.sum(e).alias(f"__total_{n}") for n, e in totals.items()),
-        F.max_by(last, F.struct(*order)).alias("__last"),
+        *last,
     )
     key = Window.partitionBy(*(F.col(f"{PIECE}.{c}") for c in by))
     ordered = key.orderBy(f"{PIECE}.piece")
@@ -128,7 +131,7 @@ def _carry(in_windows, split, by, order, position, sums, lags, totals) -> DataFr
             for n in sums
         ),
         *(F.sum(f"__total_{n}").over(key).alias(f"__total_{n}") for n in totals),
-        F.lag("__last").over(ordered).alias("__last"),
+        *(F.lag("__last").over(ordered).alias("__last") for _ in last),
     )
     local = in_windows(split, [PIECE])
     if lags:
