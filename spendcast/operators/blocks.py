@@ -31,6 +31,7 @@ from spendcast.sources.log import MEASURES, month_range, row_order
 
 SPLITS = ("train", "test")
 ITEMS = 16  # room for the value columns of one frame
+# Keys, measures and columns as they appear in feature names.
 RUNNING_KEYS = {"cust_id": "customer_id", "prod_id": "product_id", "order_id": "order_id"}
 RUNNING_MEASURES = ("total", "quantity", "price")
 DIFF_COLUMNS = ("order_ts", "quantity", "price", "total")

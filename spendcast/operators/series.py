@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from spendcast.functions import ewm
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
 
+# The statistics in feature names, in order.
 STATS = ("max", "min", "sum", "mean", "count", "std", "skew", "mean_ewm", "last_ewm", "avg_diff")
 ORDERED_STATS = ("mean_ewm", "last_ewm", "avg_diff")
 FOLD_BLOCK = 4096

@@ -26,6 +26,7 @@ def block_frames(month: str, blocks: Sequence[str]) -> list[B.Frame]:
     ]
 
 
+# Habit feature names.
 HABITS = (
     "total_over_300", "count_using_shopping",
     "total_sum_per_count_using_shopping", "total_over_300_ratio",

@@ -117,3 +117,26 @@ def test_null_counts_as_a_distinct_value(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, None)], "customer_id int, product_id string")
     got = {r["column"]: r["distinct_values"] for r in profile.distinct_keys(df).collect()}
     assert got == {"customer_id": 2, "product_id": 2}
+
+
+@pytest.mark.parametrize("limits", [ScanLimits(), SMALL])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, limits):
+    from spendcast.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "COUNT_ALL_BELOW", 0)
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 100)
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random(5000) < 0.3, 7.0, rng.normal(0, 50, 5000))
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    levels = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}
+    got = exact_quantiles(df, ["x"], levels, limits).first()
+    for name, p in levels.items():
+        assert got[name] == pytest.approx(np.quantile(x, p))
+
+
+def test_a_missed_bracket_falls_back_to_ranks(spark, monkeypatch):
+    from spendcast.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "_brackets", lambda df, columns, p: {"x": (101, [(90.0, 95.0)])})
+    df = spark.range(101).selectExpr("double(id) AS x")
+    assert exact_quantiles(df, ["x"], {"m": 0.5}).first()["m"] == 50.0
