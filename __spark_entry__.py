@@ -15,6 +15,14 @@ from spendcast.sources import tables
 from spendcast.sources.log import MEASURES, row_order, star_log
 from spendcast.sources.scratch import scratch_folder
 
+try:
+    from corpus_pipeline import ORACLES as LLM_ORACLES, QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    # Only the absence of these optional parts is accepted.
+    if (missing.name or "").split(".")[-1] not in ("corpus_pipeline", "llm"):
+        raise
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 MONTH, PREVIOUS, THRESHOLD = "2001-08", "2001-07", 100000.0
 KEYS = ("customer_id", "split", "year_month", "label", "series")
 
@@ -317,6 +325,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_trials": search_trials,
         "model_leaderboard": model_leaderboard,
         "permutation_importance": permutation_importance,
+        **LLM_QUERIES,
     }
 
 
@@ -370,4 +379,4 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **LLM_ORACLES}
