@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spendcast.llm import mixing
+from spendcast.llm import mixing, rules
 
 QUERIES = {
+    "op4_quality_rules": rules.rules_query,
     "op5_mix_sources": mixing.mixing_query,
 }
 
