@@ -126,7 +126,8 @@ def mix_sources(
     quotas = block_quotas(wanted, block_words, most_repeats)
     place = Window.partitionBy("shard", "source").orderBy("key", "block")
     copies = (
-        quotas.filter("quota > 0")
+        # A row becomes thousands of blocks, which sizes measured before don't show.
+        quotas.filter("quota > 0").repartition(shards, "shard", "source")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("key", number(F.lit(seed), F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull().cast("string"), F.col("shard"), F.col("block")))
         .withColumn("rank", F.row_number().over(place))
@@ -145,7 +146,7 @@ def mix_sources(
     overlap = F.least("s.until", (F.col("s.block") + 1) * size) - F.greatest("s.begin", F.col("s.block") * size)
     met = (F.col("s.shard") == F.col("c.shard")) & same("s", "c") & (F.col("s.block") == F.col("c.block"))
     taken = (
-        spans.alias("s").join(copies.alias("c"), met, "left")
+        spans.alias("s").join(copies.alias("c").hint("merge"), met, "left")
         .groupBy("s.shard", "s.source", "s.doc_id", "s.size", "s.until")
         .agg(F.sum(F.coalesce(overlap * F.col("c.copies"), F.lit(0))).cast("long").alias("taken"), F.count(F.lit(1)).alias("rows"))
     )
