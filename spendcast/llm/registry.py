@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, mixing, rules
+from spendcast.llm import bpe, fingerprints, mixing, rules
 
 QUERIES = {
     "op4_quality_rules": rules.rules_query,
     "op5_mix_sources": mixing.mixing_query,
+    "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
 }
 
