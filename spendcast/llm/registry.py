@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, fingerprints, mixing, rules
+from spendcast.llm import bpe, fingerprints, mixing, near_dup, rules
 
 QUERIES = {
     "op4_quality_rules": rules.rules_query,
     "op5_mix_sources": mixing.mixing_query,
+    "op6_minhash": near_dup.near_dup_query,
     "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
 }
