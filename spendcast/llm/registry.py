@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, fingerprints, mixing, near_dup, rules
+from spendcast.llm import bpe, fingerprints, mixing, near_dup, rules, substring_dedup
 
 QUERIES = {
     "op4_quality_rules": rules.rules_query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_minhash": near_dup.near_dup_query,
     "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
+    "op10_substring_dedup": substring_dedup.substring_query,
 }
 
 ORACLES = {
