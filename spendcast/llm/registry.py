@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, fingerprints, lm_score, mixing, near_dup, rules, substring_dedup, suffix_dedup
+from spendcast.llm import bpe, classifier, fingerprints, lm_score, mixing, near_dup, rules, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.suffix_query,
     "op2_lm_score": lm_score.lm_query,
+    "op3_quality_classifier": classifier.classifier_query,
     "op4_quality_rules": rules.rules_query,
     "op5_mix_sources": mixing.mixing_query,
     "op6_minhash": near_dup.near_dup_query,
