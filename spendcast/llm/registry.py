@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, classifier, fingerprints, lm_score, mixing, near_dup, rules, substring_dedup, suffix_dedup
+from spendcast.llm import bpe, classifier, fingerprints, lm_score, mixing, near_dup, rules, secrets, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.suffix_query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": rules.rules_query,
     "op5_mix_sources": mixing.mixing_query,
     "op6_minhash": near_dup.near_dup_query,
+    "op7_secret_scan": secrets.secrets_query,
     "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
     "op10_substring_dedup": substring_dedup.substring_query,
