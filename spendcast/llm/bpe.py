@@ -214,25 +214,30 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, data binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Token count and digests of the ids and of the bytes decoded from them."""
+def round_trip(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataFrame:
+    """Token count and digests of the ids and of the bytes decoded from them, and
+    the ids themselves if asked for."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path, pattern)
         for keys, coded in model.coded(batches):
-            counts, sent, back = [], [], []
+            counts, sent, back, held = [], [], [], []
             for found in coded:
-                ids = found.tolist()
-                counts.append(len(ids))
-                sent.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                back.append(hashlib.sha256(model.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(sent, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                tokens = found.tolist()
+                counts.append(len(tokens))
+                sent.append(hashlib.sha256(",".join(map(str, tokens)).encode()).hexdigest())
+                back.append(hashlib.sha256(model.decode(tokens)).hexdigest())
+                if ids:
+                    held.append(found.astype(np.int32))
+            columns = [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(sent, pa.string()), pa.array(back, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if ids:
+                columns.append(pa.array(held, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
