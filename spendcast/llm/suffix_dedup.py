@@ -32,9 +32,12 @@ SHARD_BYTES = 2 << 20
 SLICE_ROWS = 1 << 20
 
 
-def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by (at least) their first ``depth`` bytes, and their first
-    eight bytes as numbers. Suffixes equal that far stand in any order."""
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted suffixes and each place's first eight bytes as a number.
+
+    Larsson-Sadakane: each round doubles the sorted depth, only groups of suffixes
+    not yet told apart are sorted again. Ties must be broken to the end, or the
+    common prefixes below would not carry over."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     head = np.zeros(n, np.uint64)
@@ -47,7 +50,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     split[1:] = head[order[1:]] != head[order[:-1]]
     rank[order] = np.maximum.accumulate(np.where(split, np.arange(n), 0))
     done = 8
-    while done < depth:
+    while True:
         last = np.append(split[1:], True)
         open_ = np.flatnonzero(~(split & last))  # places in groups of several
         if not len(open_):
@@ -109,7 +112,7 @@ def repeated_strings(text: np.ndarray, start: np.ndarray, strings: np.ndarray, l
 
     Piece ``i`` has ``strings[i]`` of them. Returns the places where strings start
     and the class of each."""
-    order, head = suffix_array(text, length)
+    order, head = suffix_array(text)
     shared = common_prefixes(text, order, head, start, strings + length - 1, length)
     number = np.empty(len(text), np.int64)
     number[order] = np.cumsum(shared[order] < length)
