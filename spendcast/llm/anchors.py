@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from spendcast.llm.batches import mix
@@ -106,11 +107,8 @@ def pieces(symbols: np.ndarray, first: np.ndarray, length: int, part: int) -> Pi
 class BitTable:
     """Membership by one bit per hash; never misses a member."""
 
-    def __init__(self, data: bytes):
-        self.bits = np.frombuffer(data, np.uint8)
-
-    def __contains__(self, item):
-        raise TypeError("use has() with an array")
+    def __init__(self, packed: bytes):
+        self.bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - TABLE_BITS)
@@ -118,7 +116,7 @@ class BitTable:
 
 
 def bit_table(hashes: DataFrame) -> bytes:
-    """The table of a one-column DataFrame of 64-bit hashes.
+    """The table of a one-column DataFrame of 64-bit hashes, compressed.
 
     Bits are found and packed on the executors; the driver gets SLICES strings
     that are 32 MiB together however many hashes there are."""
@@ -137,7 +135,7 @@ def bit_table(hashes: DataFrame) -> bytes:
     size = len(out) // SLICES
     for s, data in sliced.toLocalIterator():
         out[s * size : (s + 1) * size] = data
-    return bytes(out)
+    return zstandard.ZstdCompressor(level=1).compress(bytes(out))
 
 
 def repeated_anchors(counted: DataFrame) -> bytes:

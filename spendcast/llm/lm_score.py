@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -52,8 +53,8 @@ def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class LogFrequencyFilter:
     """Reads quantised counts back from the packed bits."""
 
-    def __init__(self, data: bytes):
-        self.bits = np.frombuffer(data, np.uint8)
+    def __init__(self, packed: bytes):
+        self.bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
 
     def levels(self, keys: np.ndarray, most: int = 64) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
@@ -243,7 +244,7 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     bits = bytearray(1 << (FILTER_BITS - 3))
     for s, data in summed.mapInArrow(pack, "slice long, data binary").toLocalIterator():  # the filter's fixed size
         bits[s * len(data) : (s + 1) * len(data)] = data
-    return Model(bytes(bits), keys, n, symbols, words + texts, distinct + (texts > 0), texts, words - known), counts
+    return Model(zstandard.ZstdCompressor(level=1).compress(bytes(bits)), keys, n, symbols, words + texts, distinct + (texts > 0), texts, words - known), counts
 
 
 def model_scores(hashes: np.ndarray, first: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:
