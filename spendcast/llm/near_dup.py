@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spendcast.llm.anchors import BitTable, bit_table
 from spendcast.llm.batches import mix, small_batches, windows, word_groups
 from spendcast.llm.components import components
+from spendcast.llm.substring_dedup import spot, spots_of
 from spendcast.sources.scratch import scratch_folder
 
 
@@ -122,13 +124,41 @@ def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, key binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, how: Similarity) -> DataFrame:
-    """``key, shingles`` of the given documents."""
+def repeated_bands(rows: DataFrame) -> DataFrame:
+    """``band, rep, n, key`` of the bands that more than one class has.
+
+    Bands are counted alone first; a bit table of those that repeat then drops
+    the others before they are shuffled with their classes."""
+    spark = rows.sparkSession
+    classes = rows.filter("rep IS NOT NULL")
+    twice = classes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    table = spark.sparkContext.broadcast(bit_table(twice.select("band")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = BitTable(table.value)
+        for batch in batches:
+            bands = batch.column(3)
+            flat = bands.flatten().to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(known.has(flat.view(np.uint64)))
+            owner = pa.array(hit // (len(flat) // max(batch.num_rows, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *(batch.column(c).take(owner) for c in range(3))], ["band", "rep", "n", "key"])
+
+    found = classes.select("rep", "n", "key", "bands").mapInArrow(run, "band long, rep long, n long, key binary")
+    return found.join(found.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "band")
+
+
+def full_sets(docs: DataFrame, how: Similarity, reps: DataFrame) -> DataFrame:
+    """``key, shingles`` of the documents in ``reps`` and, through errors of a bit
+    table of their ids, of a few more. No text is shuffled."""
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(spots_of(reps.select(F.col("doc_id").alias("doc"), F.lit(0).alias("start")))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = BitTable(table.value)
         for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(known.has(spot(ids, np.zeros(len(ids), np.int64)))))
             keys, lists = [], []
-            for shingles, sizes in shingle_sets(batch.column(0), how.words):
+            for shingles, sizes in shingle_sets(batch.column(1), how.words):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
                 for a, b in zip(cut[:-1], cut[1:]):
                     if b > a:
@@ -136,7 +166,8 @@ def full_sets(docs: DataFrame, how: Similarity) -> DataFrame:
                         lists.append(shingles[a:b].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key binary, shingles array<long>")
+    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "key binary, shingles array<long>").dropDuplicates(["key"])
 
 
 def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
@@ -150,64 +181,82 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
 
     rows = stored(sketches(docs, how), "sketches")
     some = rows.filter("key IS NOT NULL")
-    classes = some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    banded = stored(
-        classes.filter("rep IS NOT NULL").select("rep", "n", "key", F.explode("bands").alias("band")), "bands"
-    )
-    # Buckets with more than one class, each with its leader.
-    leaders = banded.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.min(F.struct("rep", "n", "key")).alias("leader")).filter("classes > 1").drop("classes")
-    buckets = stored(banded.join(leaders, "band"), "buckets")
+    classes = stored(some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    banded = stored(repeated_bands(classes), "bands")
+    # The leader of a bucket is its class with the largest company over all bands:
+    # in a group of copies that is one near their common origin.
+    company = banded.groupBy("key").agg(F.sum("classes").alias("company"))
+    ranked = banded.join(company, "key")
+    leaders = ranked.groupBy("band").agg(F.max(F.struct("company", "rep", "n", "key")).alias("leader"))
+    buckets = stored(banded.drop("classes").join(leaders, "band"), "buckets")
 
     def fits(a: str, b: str):
         return F.least(a, b) * 100 >= F.greatest(a, b) * how.percent
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """``a, b, inter, total``: pairs of keys compared on their full sets."""
-        reps = pairs.select(F.col("a_rep").alias("doc_id")).union(pairs.select(F.col("b_rep"))).distinct()
-        sets = full_sets(docs.select(F.col("doc_id").cast("long"), "text").join(reps, "doc_id", "left_semi"), how)
-        sets = stored(sets, "sets")
-        sides = pairs.join(sets.withColumnRenamed("key", "a").withColumnRenamed("shingles", "x"), "a").join(
-            sets.withColumnRenamed("key", "b").withColumnRenamed("shingles", "y"), "b"
-        )
-        inter = F.size(F.array_intersect("x", "y")).cast("long")
-        found = sides.select("a", "b", inter.alias("inter"), (F.size("x") + F.size("y")).alias("total"))
-        return found.dropDuplicates(["a", "b"])  # a repeated doc_id repeats its set
+    inter = F.size(F.array_intersect("x", "y")).cast("long")
+    enough = F.col("inter") * (100 + how.percent) >= F.col("total") * how.percent  # inter / (total - inter) >= s
 
-    def linked(found: DataFrame) -> DataFrame:
-        return found.filter(F.col("inter") * 100 >= (F.col("total") - F.col("inter")) * how.percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    def sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
+            sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b"
+        )
 
     led = stored(
         buckets.filter(F.col("key") != F.col("leader.key")).filter(fits("n", "leader.n"))
-        .select(F.col("leader.key").alias("a"), F.col("leader.rep").alias("a_rep"), F.col("key").alias("b"), F.col("rep").alias("b_rep")).distinct(),
+        .select(F.col("leader.key").alias("a"), F.col("key").alias("b"), F.col("leader.rep").alias("a_rep"), F.col("rep").alias("b_rep")).distinct(),
         "led",
     )
-    tested = stored(confirmed(led), "tested")
-    links = linked(tested)
-    # Second pass: classes of one bucket that are still apart.
+    reps = led.select(F.col("a_rep").alias("doc_id")).union(led.select("b_rep")).distinct()
+    sets = stored(full_sets(docs, how, reps), "sets")
+    tested = stored(
+        sides(led.select("a", "b"), sets).select("a", "b", inter.alias("inter"), (F.size("x") + F.size("y")).cast("long").alias("total"), F.array_except("y", "x").alias("own")),
+        "tested",
+    )
+    links = tested.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    # Classes of one bucket that are still apart. Two of them share at most what both
+    # share with the leader plus what they share beside it; only pairs for which
+    # that is enough are compared.
     roots = components(links).withColumnRenamed("node", "key")
-    away = 1 - F.col("inter") / (F.col("total") - F.col("inter"))
-    known = tested.select(F.col("a").alias("leader_key"), F.col("b").alias("key"), away.alias("away"))
-    apart = (
-        buckets.join(roots, "key", "left")
-        .withColumn("root", F.coalesce("root", "key")).withColumn("leader_key", F.col("leader.key"))
+    apart = buckets.join(roots, "key", "left").select(
+        "band", "key", "rep", "n", F.coalesce("root", "key").alias("root"), F.col("leader.key").alias("lead")
     )
     mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
-    apart = stored(
-        apart.join(mixed, "band").join(known, ["leader_key", "key"], "left").filter(F.col("key") != F.col("leader_key"))
-        .select("band", "key", "rep", "n", "root", "away"), "apart",
+    known = tested.select(F.col("a").alias("lead"), F.col("b").alias("key"), "inter", "total", "own")
+    apart = apart.join(mixed, "band").filter("key <> lead").join(known, ["lead", "key"], "left")
+    met = stored(apart.filter("inter IS NOT NULL").dropDuplicates(["lead", "key"]), "apart")
+    odd = stored(apart.filter("inter IS NULL").drop("own", "inter", "total"), "odd")  # of a size that can't link to the leader
+    different = (F.col("x.root") != F.col("y.root")) & fits("x.n", "y.n")
+    # Without anything shared beside the leader a partner's size is bounded by the
+    # own part of the leader. One of the two is not linked to the leader, which
+    # leaves few partners, all smaller than the leader.
+    short = met.drop("own").withColumn("most", F.col("inter") * (100 + how.percent) / how.percent - F.col("n"))
+    loose = short.filter(~enough)
+    largest = loose.groupBy("lead").agg(F.max("most").alias("largest"))
+    small = short.join(largest, "lead").filter(F.col("n") <= F.col("largest"))
+    lone = loose.alias("x").join(
+        small.alias("y"),
+        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.key") != F.col("y.key")) & different
+        & (F.col("y.n") <= F.col("x.most")) & (F.col("x.n") <= F.col("y.most")),
+    ).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+    beside = met.select("lead", "key", "n", "root", "inter", F.explode("own").alias("extra"))
+    shared = beside.alias("x").join(
+        beside.alias("y"),
+        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.extra") == F.col("y.extra")) & (F.col("x.key") < F.col("y.key")) & different,
     )
-    x, y = apart.alias("x"), apart.alias("y")
-    near = F.abs(F.col("x.away") - F.col("y.away")) <= 1 - how.percent / 100 + 1e-9
-    may = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root"))
-        & fits("x.n", "y.n") & F.coalesce(near, F.lit(True))  # unknown where the sizes differ too much
+    both = shared.groupBy(
+        F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.n"), F.col("y.n").alias("m"), F.least("x.inter", "y.inter").alias("inter"), F.col("x.lead")
+    ).agg(F.count(F.lit(1)).alias("more"))
+    both = both.filter((F.col("inter") + F.col("more")) * (100 + how.percent) >= (F.col("n") + F.col("m")) * how.percent).select("a", "b")
+    rest = apart.select("band", "key", "n", "root")
+    unlike = odd.alias("x").join(rest.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") != F.col("y.key")) & different).select(
+        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
     )
-    rest = x.join(y, may).select(
-        F.col("x.key").alias("a"), F.col("x.rep").alias("a_rep"), F.col("y.key").alias("b"), F.col("y.rep").alias("b_rep")
-    ).distinct()
-    rest = stored(rest, "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(linked(confirmed(rest)))
+    pairs = stored(lone.union(both).union(unlike).distinct(), "rest")
+    if not pairs.isEmpty():
+        also = odd.select("rep").union(apart.select("rep")).distinct().withColumnRenamed("rep", "doc_id")
+        sets = sets.unionByName(full_sets(docs, how, also)).dropDuplicates(["key"]) if not odd.isEmpty() else sets
+        more = sides(pairs, sets).select("a", "b", inter.alias("inter"), (F.size("x") + F.size("y")).cast("long").alias("total"))
+        links = links.unionByName(more.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v")))
         roots = components(links).withColumnRenamed("node", "key")
     # The least document of each component of classes.
     reps = classes.select("key", "rep").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
