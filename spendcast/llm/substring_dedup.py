@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spendcast.llm.anchors import NO_ID, BitTable, SpanHash, bit_table, pieces, repeated_anchors
 from spendcast.llm.batches import mix, run_index, small_batches, word_groups
-from spendcast.sources.scratch import scratch_folder
+from spendcast.llm.store import Store
 
 LENGTH, PART = 20, 8
 
@@ -33,12 +33,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _batch(schema: str, **columns) -> pa.RecordBatch:
     types = {"long": pa.int64(), "int": pa.int32()}
     fields = [f.split() for f in schema.split(", ")]
@@ -124,14 +118,32 @@ def spots_of(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "start").mapInArrow(run, "spot long")
 
 
-def claims(docs: DataFrame, length: int, part: int) -> DataFrame:
+def split_by_table(texts: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``doc, text`` that may be in ``wanted (doc)`` and those that can't,
+    so that only the former are shuffled to be joined."""
+    ids = spots_of(wanted.select("doc", F.lit(0).alias("start")))
+    table = texts.sparkSession.sparkContext.broadcast(bit_table(ids))
+
+    def side(inside: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = BitTable(table.value)
+            for batch in batches:
+                doc = batch.column(0).to_numpy()
+                yield batch.filter(pa.array(known.has(spot(doc, np.zeros(len(doc), np.int64))) == inside))
+
+        return texts.mapInArrow(run, texts.schema)
+
+    return side(True), side(False)
+
+
+def claims(docs: DataFrame, length: int, part: int, store: Store) -> DataFrame:
     """``doc, start, n, source, origin``: ``n`` windows from word ``start`` that
     equal earlier ones, from word ``origin`` of ``source``."""
     context = docs.sparkSession.sparkContext
     table = context.broadcast(repeated_anchors(anchor_counts(docs, length, part)))
-    found = _stored(repeated_paths(docs, table, length, part), "paths")
+    found = store.put(repeated_paths(docs, table, length, part), "paths")
     first = F.min(F.struct("doc", "start"))
-    paths = _stored(
+    paths = store.put(
         found.groupBy("a", "b").agg(first.alias("first"), F.count(F.lit(1)).alias("times"), F.first("anchor").alias("anchor"), F.first("n").alias("n")),
         "path-names",
     )
@@ -141,11 +153,13 @@ def claims(docs: DataFrame, length: int, part: int) -> DataFrame:
     forks = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
     forked = paths.join(forks, "anchor").select("first.doc", "first.start")
     spots = context.broadcast(bit_table(spots_of(forked)))
-    edges = _stored(edges_at(docs, spots, table, length, part), "edges")
+    edges = store.put(edges_at(docs, spots, table, length, part), "edges")
     sources = edges.groupBy("a", "b").agg(first.alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
     single = edges.join(sources, ["a", "b"]).filter(F.struct("doc", "start") > F.col("first"))
     single = single.select("doc", "start", F.lit(1).alias("n"), F.col("first.doc").alias("source"), F.col("first.start").alias("origin"))
-    return _stored(whole.unionByName(single).distinct(), "claims")
+    out = store.put(whole.unionByName(single).distinct(), "claims")
+    store.drop("paths", "path-names", "edges")
+    return out
 
 
 def compact(found: DataFrame, length: int) -> DataFrame:
@@ -206,24 +220,30 @@ def _cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
 
     schema = "doc long, n_words long, n_removed long, kept string, kept_sha256 string, digests array<struct<start:int,words:int,digest:binary>>"
     wanted = own.join(asked, "doc", "full")
-    return _texts(docs).join(wanted, "doc", "left").select("doc", "text", "spans", "asked").mapInArrow(run, schema)
+    touched, rest = split_by_table(_texts(docs), wanted)
+    nothing = "array<struct<start:int,words:int>>"
+    plain = rest.withColumns({c: F.lit(None).cast(nothing) for c in ("spans", "asked")})
+    joined = touched.join(wanted, "doc", "left").select("doc", "text", *(F.col(c).cast(nothing) for c in ("spans", "asked")))
+    return joined.mapInArrow(run, schema).unionByName(plain.mapInArrow(run, schema))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, texts: bool = True) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (words joined by one space, if ``texts``)
     and ``kept_sha256`` of every row, windows that start earlier removed."""
     small_batches(docs.sparkSession)
-    spans = _stored(compact(claims(docs, length, part), length), "spans")
+    store = Store(docs.sparkSession)
+    spans = store.put(compact(claims(docs, length, part, store), length), "spans")
+    store.drop("claims")
     while True:
-        done = _stored(_cut(docs, spans, texts), "cut")
+        done = store.put(_cut(docs, spans, texts), "cut")
         told = done.select("doc", F.explode("digests").alias("d")).select("doc", "d.*").distinct()
         here = told.withColumnRenamed("digest", "own")
         there = told.select(F.col("doc").alias("source"), F.col("start").alias("origin"), "words", "digest")
         false = spans.join(here, ["doc", "start", "words"]).join(there, ["source", "origin", "words"]).filter("own <> digest")
-        false = _stored(false.select("doc", "start", "words", "source", "origin"), "false-spans")
+        false = store.put(false.select("doc", "start", "words", "source", "origin"), "false-spans")
         if false.isEmpty():
             break
-        spans = _stored(spans.join(false, spans.columns, "left_anti"), "spans")
+        spans = store.put(spans.join(false, spans.columns, "left_anti"), "spans")
     return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept", "kept_sha256")
 
 

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendcast.llm.anchors import NO_ID, BitTable, SpanHash, bit_table, pieces, repeated_anchors
 from spendcast.llm.batches import _VALUE, groups, small_batches, text_buffer
-from spendcast.llm.substring_dedup import _batch, _joined, _stored, _texts, spot, spots_of
+from spendcast.llm.substring_dedup import _batch, _joined, _texts, split_by_table, spot, spots_of
+from spendcast.llm.store import Store
 
 LENGTH, PART = 400, 48
 SHARD_BYTES = 2 << 20
@@ -256,12 +257,13 @@ def merged(names: DataFrame) -> DataFrame:
     return names.withColumn("slice", F.pmod("a", F.lit(slices))).groupBy("slice").applyInArrow(run, "doc long, start int, n int")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shard_bytes: int = SHARD_BYTES, store: Store | None = None) -> DataFrame:
     """``doc, start, bytes``: bytes covered by strings that occur elsewhere."""
     context = docs.sparkSession.sparkContext
+    store = store or Store(docs.sparkSession)
     table = context.broadcast(repeated_anchors(anchor_counts(docs, length, part)))
-    found = _stored(named_pieces(docs, table, length, part), "pieces")
-    names = _stored(
+    found = store.put(named_pieces(docs, table, length, part), "pieces")
+    names = store.put(
         found.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("times"), F.first("anchor").alias("anchor")),
         "piece-names",
     )
@@ -270,17 +272,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shar
     forks = names.groupBy("anchor").agg(F.count(F.lit(1)).alias("names"), F.min("times").alias("least")).filter("names > 1 AND least = 1").select("anchor")
     forked = names.join(forks, "anchor").select("first.doc", "first.start")
     spots = context.broadcast(bit_table(spots_of(forked)))
-    rows = _stored(piece_bytes(docs, spots, table, length, part), "piece-bytes")
-    inside = _stored(shard_strings(sharded(rows, shard_bytes, length), length), "shard-strings")
+    rows = store.put(piece_bytes(docs, spots, table, length, part), "piece-bytes")
+    inside = store.put(shard_strings(sharded(rows, shard_bytes, length), length), "shard-strings")
     across = merged(inside.filter("a IS NOT NULL"))
     spans = whole.unionByName(inside.filter("a IS NULL").select("doc", "start", "n")).unionByName(across)
-    return spans.distinct().select("doc", "start", (F.col("n") + F.lit(length - 1)).alias("bytes"))
+    out = store.put(spans.distinct().select("doc", "start", (F.col("n") + F.lit(length - 1)).alias("bytes")), "byte-spans")
+    store.drop("pieces", "piece-names", "piece-bytes", "shard-strings")
+    return out
 
 
 def remove_strings(docs: DataFrame, length: int = LENGTH, part: int = PART, shard_bytes: int = SHARD_BYTES, texts: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes, if ``texts``) and ``kept_sha256``."""
     small_batches(docs.sparkSession)
-    spans = _stored(repeated_spans(docs, length, part, shard_bytes), "byte-spans")
+    spans = repeated_spans(docs, length, part, shard_bytes)
     own = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +310,10 @@ def remove_strings(docs: DataFrame, length: int = LENGTH, part: int = PART, shar
             )
 
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
-    done = _texts(docs).join(own, "doc", "left").select("doc", "text", "spans").mapInArrow(run, schema)
+    touched, rest = split_by_table(_texts(docs), own)
+    nothing = F.lit(None).cast("array<struct<start:int,bytes:int>>").alias("spans")
+    joined = touched.join(own, "doc", "left").select("doc", "text", "spans")
+    done = joined.mapInArrow(run, schema).unionByName(rest.select("doc", "text", nothing).mapInArrow(run, schema))
     return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
 
 
