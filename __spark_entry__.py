@@ -12,7 +12,7 @@ from spendcast.functions.months import cutoffs
 from spendcast.operators import blocks, evaluate, labels, models, prep, profile, series
 from spendcast.plans import features, training
 from spendcast.sources import tables
-from spendcast.sources.log import MEASURES, row_order, star_log
+from spendcast.sources.log import MEASURES, read_log_parquet, row_order, star_log, write_log
 from spendcast.sources.scratch import scratch_folder
 
 try:
@@ -23,7 +23,7 @@ except ModuleNotFoundError as missing:
         raise
     LLM_ORACLES, LLM_QUERIES = {}, {}
 
-MONTH, PREVIOUS, THRESHOLD = "2001-08", "2001-07", 100000.0
+MONTH, THRESHOLD = "2001-08", 100000.0
 KEYS = ("customer_id", "split", "year_month", "label", "series")
 
 
@@ -170,10 +170,40 @@ def totals(spark: SparkSession, folder: str) -> DataFrame:
     return labels.customer_month_totals(star_log(spark, folder))
 
 
+def both_splits(build) -> Callable[[SparkSession, str], DataFrame]:
+    """``build(spark, folder, cutoff)`` of either split, told apart by ``split``."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        parts = [build(spark, folder, cut).withColumn("split", F.lit(s)) for s, cut in cutoffs(MONTH).items()]
+        return parts[0].unionByName(parts[1])
+
+    return run
+
+
 def habit(*names: str):
-    return rounding(
-        lambda s, d: labels.habits(totals(s, d), MONTH, THRESHOLD).select("customer_id", *names)
-    )
+    return rounding(both_splits(
+        lambda s, d, cut: labels.habits(totals(s, d), cut, THRESHOLD).select("customer_id", *names)
+    ))
+
+
+def log_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and spend per month of a log stored by month and read back."""
+    path = scratch_folder(spark, "log-by-month")
+    write_log(star_log(spark, folder), path)
+    return profile.monthly_totals(read_log_parquet(spark, path))
+
+
+def feature_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Both splits of a feature table, written as CSV and read back."""
+    path = scratch_folder(spark, "features-csv")
+    tables.write_features(features.feature_table(star_log(spark, folder), MONTH, THRESHOLD, blocks=("habits",)), path, "csv")
+    return tables.read_features(spark, path, fmt="csv")
+
+
+def roc_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole curve; the infinite threshold of its first point is given as null."""
+    curve = evaluate.roc_curve(seeded_scores(spark, folder))
+    return round_columns(curve, ["fpr", "tpr"]).withColumn("threshold", F.expr("nullif(threshold, double('inf'))"))
 
 
 def month_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,13 +263,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retail_log": lambda s, d: round_columns(detailed(s, d), ["price"]),
         "log_csv": log_csv,
         "feature_roundtrip": feature_roundtrip,
+        "feature_csv": rounding(feature_csv),
+        "log_by_month": rounding(log_by_month),
         "score_export": score_export,
         # projections and filters
         "month_key": lambda s, d: log(s, d).groupBy("order_date", "year_month").agg(F.count(F.lit(1)).alias("rows")),
         "month_windows": rounding(month_windows),
-        "history_before": lambda s, d: round_columns(
-            blocks.history_before(log(s, d), PREVIOUS), ["price"]
-        ),
+        "history_before": both_splits(lambda s, d, cut: round_columns(
+            blocks.history_before(log(s, d), cut), ["price"]
+        )),
         "first_customer_rows": lambda s, d: round_columns(profile.first_customer_rows(log(s, d)), ["price"]),
         "alpha_codes": lambda s, d: profile.alphabetic_codes(product_codes(s, d)),
         "log_head": lambda s, d: round_columns(
@@ -261,7 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_totals": rounding(lambda s, d: profile.monthly_totals(log(s, d))),
         "price_histogram": rounding(lambda s, d: profile.histogram(log(s, d), "price")),
         # labels and habits
-        "label_month": rounding(lambda s, d: labels.label_month(log(s, d), PREVIOUS, THRESHOLD)),
+        "label_month": rounding(both_splits(lambda s, d, cut: labels.label_month(log(s, d), cut, THRESHOLD))),
         "customer_month_totals": rounding(totals),
         "months_over": habit("total_over_300"),
         "months_active": habit("count_using_shopping"),
@@ -304,9 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "confusion_matrix": lambda s, d: evaluate.confusion(seeded_scores(s, d)),
         "auc_pooled": rounding(lambda s, d: evaluate.auc(seeded_scores(s, d))),
         "auc_fold_mean": rounding(lambda s, d: evaluate.auc_fold_mean(seeded_scores(s, d))),
-        "roc_curve": rounding(
-            lambda s, d: evaluate.roc_curve(seeded_scores(s, d)).filter("threshold <= 1")
-        ),
+        "roc_curve": roc_points,
         "fold_average": rounding(
             lambda s, d: evaluate.fold_average(
                 member_scores(s, d, 0).unionByName(member_scores(s, d, 1)).unionByName(member_scores(s, d, 2))

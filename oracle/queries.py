@@ -69,7 +69,7 @@ SELECT {ORDER.replace('price, ', '')}, customer_id, {round_all(names)} FROM r"""
 
 
 def habit(*names: str) -> str:
-    return f"WITH {LOG}, {TOTALS}, {HABITS} SELECT customer_id, {round_all(names)} FROM habits WHERE split = 'test'"
+    return f"WITH {LOG}, {TOTALS}, {HABITS} SELECT customer_id, split, {round_all(names)} FROM habits"
 
 
 def blend(n: int) -> str:
@@ -124,12 +124,13 @@ bounds AS (SELECT v.split, v.name, v.x,
   min(q) FILTER (WHERE q >= x) AS qh, min(p) FILTER (WHERE q >= x) AS ph,
   min(q) AS lo, max(q) AS hi
   FROM vals v JOIN knot USING (split, name) GROUP BY ALL),
-placed AS (SELECT split, name, x, CASE WHEN x >= hi THEN 1 WHEN x <= lo THEN 0
+placed AS (SELECT split, name, x, CASE WHEN x <= lo THEN 0 WHEN x >= hi THEN 1
   WHEN ql = qh THEN (pl + ph) / 2 ELSE pl + (ph - pl) * (x - ql) / (qh - ql) END AS z FROM bounds),
 done AS (SELECT customer_id, split, year_month, label, {cols} FROM long JOIN placed USING (split, name, x) GROUP BY ALL)
 SELECT customer_id, split, year_month, label, {round_all(HABIT_COLUMNS)} FROM done"""
 
 
+# Band limits and names.
 BANDS = (
     (0, "minus"), (20, "very low"), (40, "low"), (70, "middle-low"), (100, "middle"),
     (150, "middle-high"), (200, "almost"), (250, "high"), (270, "higgh"), (300, "hiigh"),
@@ -153,7 +154,7 @@ ORACLES: dict[str, str] = {
     "month_windows": f"""WITH {LOG}, w AS (SELECT * FROM (VALUES {', '.join(str((s, x[1:], lo, hi)) for s, x, lo, hi in window_frames() + season_frames())}) t(split, name, first, last))
 SELECT split, name, first, strftime((last || '-01')::DATE + INTERVAL 1 MONTH, '%Y-%m') AS until,
   count(*) AS rows, {rounded('sum(total)')} AS total FROM log JOIN w ON year_month BETWEEN first AND last GROUP BY split, name, first, last""",
-    "history_before": f"WITH {LOG} SELECT {PRICE} FROM log WHERE year_month < '{PREVIOUS}'",
+    "history_before": f"WITH {LOG} SELECT {PRICE}, split FROM log JOIN (VALUES ('train', '{PREVIOUS}'), ('test', '{MONTH}')) f(split, cut) ON year_month < cut",
     "first_customer_rows": f"WITH {LOG} SELECT {PRICE} FROM log WHERE customer_id = (SELECT min(customer_id) FROM log)",
     "alpha_codes": "SELECT DISTINCT code AS product_id FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE p_brand END AS code FROM part) WHERE regexp_full_match(code, '[A-Za-z]+')",
     "log_head": f"WITH {LOG} SELECT {PRICE} FROM (SELECT * FROM log ORDER BY {ORDER} LIMIT 5)",
@@ -175,12 +176,14 @@ SELECT split, name, first, strftime((last || '-01')::DATE + INTERVAL 1 MONTH, '%
     "key_coverage": f"WITH {LOG} SELECT count(*) AS keys_in_log FROM customer WHERE c_custkey IN (SELECT customer_id FROM log)",
     "date_range": f"WITH {LOG} SELECT min(order_date) AS first, max(order_date) AS last FROM log",
     "distinct_keys": f"WITH {LOG} SELECT 'customer_id' AS column, count(DISTINCT customer_id) AS distinct_values FROM log UNION ALL SELECT 'product_id', count(DISTINCT product_id) FROM log",
+    "log_by_month": f"WITH {LOG} SELECT year_month, {rounded('sum(total)')} AS total FROM log GROUP BY year_month",
     "monthly_totals": f"WITH {LOG} SELECT year_month, {rounded('sum(total)')} AS total FROM log GROUP BY year_month",
     "price_histogram": f"""WITH {LOG}, b AS (SELECT min(price) AS lo, max(price) AS hi, count(*) AS n FROM log),
 h AS (SELECT least(floor((price - lo) / ((hi - lo) / 500)), 499)::INT AS bin, count(*) AS c FROM log, b GROUP BY 1)
 SELECT r.bin::INT AS bin, {rounded('(lo + r.bin * ((hi - lo) / 500))')} AS "left", coalesce(c, 0) AS count,
   {rounded('(coalesce(c, 0) / (n * ((hi - lo) / 500)))')} AS density FROM range(500) r(bin) CROSS JOIN b LEFT JOIN h ON h.bin = r.bin""",
-    "label_month": f"WITH {LOG}, {TOTALS}, {LABELS} SELECT customer_id, year_month, {rounded('total')} AS total, label FROM labels_ WHERE split = 'train'",
+    "label_month": f"WITH {LOG}, {TOTALS}, {LABELS} SELECT customer_id, split, year_month, {rounded('total')} AS total, label FROM labels_",
+    "feature_csv": f"WITH {LOG}, {TOTALS}, {LABELS}, {HABITS} SELECT customer_id, split, l.year_month, label, {', '.join(f'coalesce({rounded(c)}, 0) AS {c}' for c in HABIT_COLUMNS)} FROM labels_ l LEFT JOIN habits h USING (customer_id, split)",
     "customer_month_totals": f"WITH {LOG}, {TOTALS} SELECT customer_id, year_month, {rounded('total')} AS total FROM totals",
     "months_over": habit("total_over_300"),
     "months_active": habit("count_using_shopping"),
@@ -227,7 +230,7 @@ w AS (SELECT customer_id, split, {pivot(DIFF_NAMES)} FROM stats GROUP BY ALL) SE
     "roc_curve": f"""WITH {SCORES}, c AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scores GROUP BY 1),
 r AS (SELECT *, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp, lead(pos) OVER d AS np, lead(neg) OVER d AS nn, row_number() OVER d AS i FROM c WINDOW d AS (ORDER BY score DESC)),
 k AS (SELECT score AS threshold, fp / (SELECT sum(neg) FROM c)::DOUBLE AS fpr, tp / (SELECT sum(pos) FROM c)::DOUBLE AS tpr FROM r WHERE i = 1 OR np IS NULL OR np <> pos OR nn <> neg)
-SELECT {round_all(['threshold', 'fpr', 'tpr'])} FROM k""",
+SELECT threshold, {round_all(['fpr', 'tpr'])} FROM k UNION ALL SELECT NULL, 0.0::DOUBLE, 0.0::DOUBLE""",
     "fold_average": blend(3),
     "top_trials": f"""SELECT c_custkey AS trial, {rounded('(0.03::DOUBLE + 0.04::DOUBLE * ((c_custkey * 13) % 101) / 100)')} AS learning_rate,
   {rounded('(0.5::DOUBLE + 0.5::DOUBLE * ((c_custkey * 17) % 103) / 102)')} AS subsample, {rounded('((c_custkey * 104729) % 997 / 997.0::DOUBLE)')} AS value

@@ -25,7 +25,7 @@ from spendcast.functions.months import (
     shift_month,
     trailing_windows,
 )
-from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, hot_keys, scan
+from spendcast.operators.scan import DEFAULT_LIMITS, HOT_ROWS, ScanLimits, hot_keys, scan
 from spendcast.operators.series import STATS, summarise
 from spendcast.sources.log import MEASURES, month_range, row_order
 
@@ -94,10 +94,9 @@ def history_before(log: DataFrame, month: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class LogFacts:
-    """What planning needs to know of a history: its size, whether any measure
-    is null, and the keys too large for one task."""
+    """What planning needs to know of a history: whether any measure is null, and
+    the keys too large for one task."""
 
-    rows: int
     nulls: bool
     hot: Mapping[str, DataFrame]
 
@@ -106,14 +105,18 @@ class LogFacts:
         cls, history: DataFrame, keys: Iterable[str] = ("customer_id",),
         limits: ScanLimits = DEFAULT_LIMITS,
     ) -> LogFacts:
-        """One narrow pass; one more per key when the history outgrows a task."""
+        """One narrow pass for the nulls, one for the rows of all keys."""
         counted = history.agg(
             F.count(F.lit(1)).alias("rows"), *(F.count(m).alias(m) for m in MEASURES)
         ).first()
-        rows = counted["rows"]
-        limit = limits.rows_per_task(rows)
-        hot = {k: hot_keys(history, [k], limit) for k in keys} if rows > limit else {}
-        return cls(rows, any(counted[m] < rows for m in MEASURES), hot)
+        types = dict(history.dtypes)
+        named = ", ".join(f"struct('{k}' AS name, string(`{k}`) AS key)" for k in keys)
+        large = hot_keys(history.selectExpr(f"inline(array({named}))"), ["name", "key"], limits)
+        hot = {
+            k: large.filter(F.col("name") == k).select(F.col("key").cast(types[k]).alias(k), HOT_ROWS)
+            for k in keys
+        }
+        return cls(any(counted[m] < counted["rows"] for m in MEASURES), hot)
 
 
 def running_sums(
@@ -133,8 +136,7 @@ def running_sums(
         column = RUNNING_KEYS[key]
         sums = {running_name(m, key): m for m in RUNNING_MEASURES}
         log = scan(
-            log, [column], order, sums=sums, limits=limits, row_count=facts.rows,
-            hot=facts.hot.get(column),
+            log, [column], order, sums=sums, limits=limits, hot=facts.hot.get(column),
         )
         log = log.withColumns({n: F.when(F.col(column).isNotNull(), F.col(n)) for n in sums})
     return log
@@ -213,7 +215,6 @@ def packed_features(
         sums={running_name(m, "cust_id"): m for m in RUNNING_MEASURES} if running else {},
         lags={f"__lag_{c}": c for c in DIFF_COLUMNS} if diffs else {},
         totals=older | gaps,
-        row_count=facts.rows,
         hot=facts.hot.get("customer_id"),
         limits=limits,
     )

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
+from spendcast.session import cut_lineage
 
 
 def seeded_hash(key: str, seed: int) -> Column:
@@ -56,8 +57,9 @@ def _score_counts(scores: DataFrame, by: Sequence[str], limits: ScanLimits) -> D
     counts = scores.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
+    # Scores may come from models: they are stored before they are counted and scanned.
     return scan(
-        counts, by, ["score"],
+        cut_lineage(counts), by, ["score"],
         sums={"pos_upto": "pos", "neg_upto": "neg"},
         lags={"pos_lower": "pos", "neg_lower": "neg"},
         totals={"pos_all": F.col("pos"), "neg_all": F.col("neg")},
@@ -116,13 +118,17 @@ def top_trials(trials: DataFrame, n: int = 30) -> DataFrame:
 def blend(members: Sequence[DataFrame]) -> DataFrame:
     """Mean probability per customer over the members, joined by customer.
 
-    Every member must score a customer; one missing a member is left out.
+    Every member must score a customer; one missing a member is left out. A
+    member that scores a customer several times counts with its mean.
     """
     stacked = reduce(
-        DataFrame.unionByName, (m.select("customer_id", "probability") for m in members)
+        DataFrame.unionByName,
+        (m.select("customer_id", "probability", F.lit(i).alias("member")) for i, m in enumerate(members)),
     )
     return (
-        stacked.groupBy("customer_id")
+        stacked.groupBy("customer_id", "member")
+        .agg(F.avg("probability").alias("probability"))
+        .groupBy("customer_id")
         .agg(F.avg("probability").alias("probability"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") == len(members))
         .drop("n")

@@ -107,6 +107,17 @@ class OutOfFold:
     models: Sequence[Model]
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds to keep: the least loss before ``patience`` rounds without a better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def out_of_fold(
     train: DataFrame,
     estimator: Estimator,
@@ -115,20 +126,26 @@ def out_of_fold(
     names: Sequence[str] | None = None,
     folds: int = 10,
     early_stop: bool = True,
+    patience: int = 100,
     parallelism: int = 4,
 ) -> OutOfFold:
     """Train one model per fold on the other folds and score what it has not seen.
 
-    ``train`` has ``customer_id, label, fold, features``. Tree boosting stops
-    early on the held-out fold unless ``early_stop`` is off.
+    ``train`` has ``customer_id, label, fold, features``. Tree boosting is cut to
+    its best round on the held-out fold, sought until ``patience`` rounds bring
+    nothing better, unless ``early_stop`` is off.
     """
-    stops = early_stop and estimator.hasParam("validationIndicatorCol")
+    stops = early_stop and hasattr(estimator, "getMaxIter") and estimator.hasParam("validationIndicatorCol")
 
     def fit(fold: int) -> Model:
-        if stops:
-            marked = train.withColumn("held_out", F.col("fold") == fold)
-            return estimator.copy({estimator.validationIndicatorCol: "held_out"}).fit(marked)
-        return estimator.fit(train.filter(F.col("fold") != fold))
+        others = train.filter(F.col("fold") != fold)
+        model = estimator.fit(others)
+        held = train.filter(F.col("fold") == fold)
+        if not stops or held.isEmpty():
+            return model
+        best = best_round(model.evaluateEachIteration(held), patience)
+        # The same seed grows the same first trees.
+        return model if best == model.getNumTrees else estimator.copy({estimator.maxIter: best}).fit(others)
 
     with ThreadPoolExecutor(parallelism) as pool:
         models = list(pool.map(fit, range(folds)))

@@ -150,7 +150,8 @@ def uniform_place(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     up = np.interp(x, knots, places)
     down = -np.interp(-x, -knots[::-1], -places[::-1])
     place = (up + down) / 2
-    place = np.where(x >= knots[-1], 1.0, np.where(x <= knots[0], 0.0, place))
+    # The lower bound is set last: a constant column becomes 0.
+    place = np.where(x <= knots[0], 0.0, np.where(x >= knots[-1], 1.0, place))
     return np.where(np.isnan(x), np.nan, place)
 
 

@@ -31,7 +31,6 @@ def value_ranks(
 
 
 SKETCH_ACCURACY = 10_000
-COUNT_ALL_BELOW = 100_000
 
 
 def exact_quantiles(
@@ -42,42 +41,38 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per column.
 
-    Two narrow passes, neither of which shuffles the rows: sketches bracket
-    each quantile, then only values inside a bracket are told apart while the
-    rest are counted. Columns of few rows skip the sketch. Should a bracket
-    miss, its column is ranked in full.
+    Narrow passes that don't shuffle the rows: sketches bracket each quantile,
+    values below each bracket are counted, and only values inside one are told
+    apart. Should a bracket miss, its column is ranked in full.
     """
     names = list(probabilities)
     brackets = _brackets(df, columns, probabilities)
-    wanted = [
-        f"if(`{c}` <= {_bound(hi)}, struct({i} AS column, {k} AS quantile, "
-        f"if(`{c}` < {_bound(lo)}, null, double(`{c}`)) AS value), null)"
-        for i, c in enumerate(columns)
-        for k, (lo, hi) in enumerate(brackets[c][1])
-        if brackets[c][0]
-    ]
+    spots = [(i, k, c, *brackets[c][1][k]) for i, c in enumerate(columns) if brackets[c][0] for k in range(len(names))]
     found: dict[tuple[int, int], float] = {}
-    if wanted:
+    if spots:
+        inside = ", ".join(
+            f"if(`{c}` BETWEEN {_bound(lo)} AND {_bound(hi)}, struct({i} AS column, {k} AS quantile, double(`{c}`) AS value), null)"
+            for i, k, c, lo, hi in spots
+        )
+        row = df.agg(*(F.expr(f"count_if(`{c}` < {_bound(lo)})").alias(f"b{i}_{k}") for i, k, c, lo, _ in spots)).first()
         counts = (
-            df.selectExpr(f"explode(array({', '.join(wanted)})) AS e")
-            .filter("e IS NOT NULL")
-            .selectExpr("e.*")
+            df.selectExpr(f"inline(array_compact(array({inside})))")
             .groupBy("column", "quantile", "value")
             .count()
         )
-        most = sum(brackets[c][0] for c in columns) * len(names)
-        ranks = scan(
-            counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits,
-            row_count=most if most <= limits.group_rows else None,
+        ranks = scan(counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits)
+        lower = {(i, k): row[f"b{i}_{k}"] for i, k, *_ in spots}
+        below = "array({})".format(
+            ", ".join(f"{lower.get((i, k), 0)}L" for i in range(len(columns)) for k in range(len(names)))
         )
         sizes = "array({})".format(", ".join(f"{brackets[c][0]}L" for c in columns))
         levels = "array({})".format(", ".join(f"{probabilities[n]!r}D" for n in names))
-        at = f"(({sizes}[column] - 1) * {levels}[quantile])"
+        at = f"(({sizes}[column] - 1) * {levels}[quantile] - {below}[column * {len(names)} + quantile])"
         ends = ranks.selectExpr("*", f"{at} AS place").groupBy("column", "quantile").agg(
-            F.expr("max(if(value IS NULL, upto, 0)) <= floor(max(place))").alias("hit"),
+            F.expr("max(place) >= 0").alias("hit"),
             F.expr("min(if(upto > floor(place), value, null))").alias("lo"),
             F.expr("min(if(upto > ceil(place), value, null))").alias("hi"),
-            F.expr("max(place) % 1").alias("part"),
+            F.expr("max(place) - floor(max(place))").alias("part"),
         )
         for r in ends.collect():
             if r["hit"] and r["lo"] is not None and r["hi"] is not None:
@@ -102,21 +97,20 @@ def _brackets(
     df: DataFrame, columns: Sequence[str], probabilities: dict[str, float]
 ) -> dict[str, tuple[int, list[tuple[float, float]]]]:
     """Row count per column and a value range sure to hold each quantile."""
-    slack = 2 / SKETCH_ACCURACY
-    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities.values() for d in (-slack, slack)]
-    sketch = f"percentile_approx(double({{c}}), array({', '.join(f'{e!r}D' for e in edges)}), {SKETCH_ACCURACY})"
-    row = df.agg(
-        *(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)),
-        *(F.expr(sketch.format(c=f"`{c}`")).alias(f"e{i}") for i, c in enumerate(columns)),
-    ).first()
+    sizes = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns))).first()
+
+    def sketch(i: int, c: str) -> str:
+        # A rank's two neighbours lie inside, however few rows there are.
+        slack = max(2 / SKETCH_ACCURACY, 2 / max(sizes[i], 1))
+        edges = [min(max(p + d, 0.0), 1.0) for p in probabilities.values() for d in (-slack, slack)]
+        levels = ", ".join(f"{e!r}D" for e in edges)
+        return f"percentile_approx(double(`{c}`), array({levels}), {SKETCH_ACCURACY})"
+
+    row = df.agg(*(F.expr(sketch(i, c)).alias(f"e{i}") for i, c in enumerate(columns))).first()
     found = {}
     for i, c in enumerate(columns):
-        n, e = row[f"n{i}"], row[f"e{i}"]
-        everything = n < COUNT_ALL_BELOW or e is None
-        found[c] = n, [
-            (float("-inf"), float("inf")) if everything else (e[2 * k], e[2 * k + 1])
-            for k in range(len(probabilities))
-        ]
+        n, e = sizes[i], row[f"e{i}"]
+        found[c] = n, [] if e is None else [(e[2 * k], e[2 * k + 1]) for k in range(len(probabilities))]
     return found
 
 

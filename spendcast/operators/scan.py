@@ -19,21 +19,14 @@ from spendcast.session import cut_lineage
 
 @dataclass(frozen=True)
 class ScanLimits:
-    """``group_rows``: rows of one key that one task may hold.
-
-    ``hot_keys`` bounds the broadcast list of larger keys: the limit is raised
-    to ``rows / hot_keys`` on huge inputs, so the list can never be longer.
-    """
+    """``group_rows``: rows of one key that one task may hold, at any table size."""
 
     group_rows: int = 2_000_000
-    hot_keys: int = 10_000
-
-    def rows_per_task(self, rows: int) -> int:
-        return max(self.group_rows, rows // self.hot_keys)
 
 
 DEFAULT_LIMITS = ScanLimits()
 PIECE = "__piece"
+HOT_ROWS = "__rows"
 
 
 def scan(
@@ -45,7 +38,6 @@ def scan(
     sums: Mapping[str, str] | None = None,
     lags: Mapping[str, str] | None = None,
     totals: Mapping[str, Column] | None = None,
-    row_count: int | None = None,
     hot: DataFrame | None = None,
     limits: ScanLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -54,16 +46,12 @@ def scan(
     ``position``: 1-based row number. ``sums``: output -> column, inclusive
     running sum, null where the column is null. ``lags``: output -> column of
     the previous row. ``totals``: output -> numeric expression summed over the
-    whole key. ``order`` must be a total order. ``row_count`` is an upper bound
-    of the number of rows, counted here when not given; ``hot`` is what
-    ``hot_keys`` found, looked up here when not given.
+    whole key. ``order`` must be a total order. ``hot`` is what ``hot_keys`` found,
+    looked up here when not given; rows that are costly to derive should be
+    stored before, as they are counted and then read.
     """
     sums, lags, totals = dict(sums or {}), dict(lags or {}), dict(totals or {})
     by, order = list(by), list(order)
-    if row_count is None:
-        row_count = rows.count()
-    limit = limits.rows_per_task(row_count)
-
     def in_windows(df: DataFrame, keys: list[str]) -> DataFrame:
         ordered = Window.partitionBy(*keys).orderBy(*order)
         running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -74,38 +62,38 @@ def scan(
         out |= {n: F.sum(e).over(whole) for n, e in totals.items()}
         return df.withColumns(out)
 
-    if row_count <= limit:
-        return in_windows(rows, by)
-
     if by:
         if hot is None:
-            hot = hot_keys(rows, by, limit)
-        if hot.isEmpty():
+            hot = hot_keys(rows, by, limits)
+        hot_rows_n = hot.agg(F.sum(HOT_ROWS)).first()[0]
+        if not hot_rows_n:
             return in_windows(rows, by)
+        rows = cut_lineage(rows)
         match = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in by]
         condition = match[0]
         for m in match[1:]:
             condition = condition & m
-        small = F.broadcast(hot).alias("h")
-        cold_rows = rows.alias("r").join(small, condition, "left_anti")
-        hot_rows = rows.alias("r").join(small, condition, "left_semi")
+        keys = hot.drop(HOT_ROWS).alias("h")
+        cold_rows = rows.alias("r").join(keys, condition, "left_anti")
+        hot_rows = rows.alias("r").join(keys, condition, "left_semi")
+        pieces = [1 + 2 * hot_rows_n // limits.group_rows]
     else:
-        cold_rows, hot_rows = None, rows
+        # A whole table is cut into the session's shuffle partitions.
+        cold_rows, hot_rows, pieces = None, cut_lineage(rows), []
 
-    pieces = 1 + 2 * row_count // limit
     # One struct names a key's piece: it stays comparable when a key is null.
     name = F.struct(*by, F.spark_partition_id().alias("piece"))
     split = cut_lineage(
-        hot_rows.repartitionByRange(pieces, *by, *order).withColumn(PIECE, name)
+        hot_rows.repartitionByRange(*pieces, *by, *order).withColumn(PIECE, name)
     )
     done = _carry(in_windows, split, by, order, position, sums, lags, totals)
     return done if cold_rows is None else in_windows(cold_rows, by).unionByName(done)
 
 
-def hot_keys(rows: DataFrame, by: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows; at most ``rows / limit`` of them."""
-    counts = rows.groupBy(*by).count().filter(F.col("count") > limit).select(*by)
-    return rows.sparkSession.createDataFrame(counts.collect(), counts.schema)
+def hot_keys(rows: DataFrame, by: Sequence[str], limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Stored keys with more rows than one task may hold, and their row counts."""
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias(HOT_ROWS))
+    return cut_lineage(counts.filter(F.col(HOT_ROWS) > limits.group_rows))
 
 
 def _carry(in_windows, split, by, order, position, sums, lags, totals) -> DataFrame:

@@ -78,8 +78,10 @@ def summarise(
 def fold(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ordered statistics of series with nulls anywhere.
 
-    Rows are folded in blocks of bounded length. A block starts from the state
-    the last block with a value ended in: older blocks weigh below 1e-170.
+    Rows are folded in blocks of bounded length. Means and weights of blocks add
+    up, so a block starts from what the blocks before it end in. Two of those
+    with a value are enough: a third weighs below 1e-170 of the last one's least
+    weight. Only these narrow states are ordered by window, never the rows.
     """
     keys = list(keys)
     block = F.floor(F.col("j") / FOLD_BLOCK)
@@ -104,10 +106,22 @@ def fold(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     ended = blocks.withColumns(
         {"end": F.aggregate("v", empty, end_state), "tip": F.element_at("v", -1)["x"]}
     )
-    carry = F.when(F.col("end.y").isNotNull(), F.struct("b", "end.y", "end.den"))
-    started = ended.withColumns(
-        {"c": F.last(carry, ignorenulls=True).over(before), "px": F.lag("tip").over(ordered)}
+    states = ended.select(*keys, "b", "end", "tip")
+    own = F.when(F.col("end.y").isNotNull(), F.struct("b", "end.y", "end.den"))
+    # What the last block with a value ends in, with the one before it added.
+    older = states.withColumns({"own": own, "p": F.last(own, ignorenulls=True).over(before)})
+    faded = F.col("p.den") * F.pow(F.lit(ewm.DECAY), (F.col("b") - F.col("p.b")) * FOLD_BLOCK)
+    weight = F.col("own.den") + F.coalesce(faded, F.lit(0.0))
+    mean = (F.col("own.den") * F.col("own.y") + F.coalesce(faded * F.col("p.y"), F.lit(0.0))) / weight
+    carry = F.when(F.col("own").isNotNull(), F.struct("b", mean.alias("y"), weight.alias("den")))
+    carried = older.withColumn("carry", carry).select(
+        *(F.col(k).alias(f"__{k}") for k in keys), F.col("b").alias("__b"),
+        F.last("carry", ignorenulls=True).over(before).alias("c"), F.lag("tip").over(ordered).alias("px"),
     )
+    match = F.col("b") == F.col("__b")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    started = blocks.join(carried, match).drop("__b", *(f"__{k}" for k in keys))
     gap = F.pow(F.lit(ewm.DECAY), (F.col("b") - F.col("c.b") - 1) * FOLD_BLOCK)
     start = F.struct(
         F.col("c.y").alias("y"),

@@ -20,9 +20,19 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.format(fmt).save(path)
 
 
-def read_features(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Scan a stored feature table; a split reads only its own folder."""
-    df = spark.read.parquet(path)
+def read_features(
+    spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Scan a stored feature table; a split reads only its own folder.
+
+    CSV is read by header name with fixed types, without an inference pass."""
+    if fmt == "csv":
+        header = spark.read.option("header", True).csv(path).columns
+        kinds = {"customer_id": T.LongType(), "label": T.IntegerType(), "year_month": T.StringType(), "split": T.StringType()}
+        schema = T.StructType([T.StructField(c, kinds.get(c, T.DoubleType())) for c in header])
+        df = spark.read.schema(schema).option("header", True).csv(path)
+    else:
+        df = spark.read.parquet(path)
     return df if split is None else df.filter(F.col("split") == split)
 
 

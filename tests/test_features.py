@@ -31,7 +31,7 @@ def same(a, b):
 def test_hot_keys_give_the_same_table(spark, nulls):
     log = make_log(spark, skewed_rows(nulls=nulls))
     plain = to_frame(feature_table(log, MONTH, 300.0))
-    split = to_frame(feature_table(log, MONTH, 300.0, limits=ScanLimits(120, 1000)))
+    split = to_frame(feature_table(log, MONTH, 300.0, limits=ScanLimits(120)))
     assert plain.shape[1] == 4 + 438
     same(plain, split)
 

@@ -32,3 +32,13 @@ def test_shuffling_an_unused_feature_costs_nothing(spark):
     got = {r.feature: r.auc_drop for r in drops.collect()}
     assert got["used"] > 0 and got["flat"] == pytest.approx(0)
     assert models.select_features(drops) == ["used"]
+
+
+def test_boosting_keeps_its_best_round(spark):
+    rows = [(i, int((i * 37) % 100 < 50 + (i % 11 == 0) * 30), i % 3, float((i * 37) % 100), float(i % 7)) for i in range(600)]
+    df = spark.createDataFrame(rows, "customer_id long, label int, fold int, x double, y double")
+    train = models.assemble(df, ["x", "y"])
+    result = models.out_of_fold(train, models.boosted_trees(rounds=12, depth=2), folds=3, names=["x", "y"])
+    assert all(m.getNumTrees > 3 for m in result.models)
+    assert models.best_round([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3
+    assert models.best_round([5, 4, 3, 3.5, 3.4, 2], patience=3) == 6

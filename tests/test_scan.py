@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from spendcast.operators.scan import ScanLimits, hot_keys, scan
+from spendcast.operators.scan import HOT_ROWS, ScanLimits, hot_keys, scan
 
 
 def expected(pdf):
@@ -15,7 +15,7 @@ def expected(pdf):
     return pdf
 
 
-@pytest.mark.parametrize("limits", [ScanLimits(), ScanLimits(40, 1000)])
+@pytest.mark.parametrize("limits", [ScanLimits(), ScanLimits(40)])
 @pytest.mark.parametrize("by", [["k"], []])
 def test_scan_does_not_depend_on_limits(spark, limits, by):
     rows = [
@@ -38,7 +38,6 @@ def test_scan_does_not_depend_on_limits(spark, limits, by):
         ), c
 
 
-def test_hot_key_list_is_bounded_by_the_limit(spark):
+def test_hot_keys_come_with_their_rows(spark):
     df = spark.range(1000).selectExpr("if(id % 2 = 0, 0, id) AS k")
-    assert [r.k for r in hot_keys(df, ["k"], 100).collect()] == [0]
-    assert ScanLimits(10, 100).rows_per_task(1_000_000) == 10_000
+    assert [(r.k, r[HOT_ROWS]) for r in hot_keys(df, ["k"], ScanLimits(100)).collect()] == [(0, 500)]

@@ -31,7 +31,7 @@ def check(spark, series, limits=ScanLimits()):
     assert np.allclose(got.fillna(0), want[list(STATS)].fillna(0), rtol=1e-9, atol=1e-7)
 
 
-@pytest.mark.parametrize("limits", [ScanLimits(), ScanLimits(150, 1000)])
+@pytest.mark.parametrize("limits", [ScanLimits(), ScanLimits(150)])
 @pytest.mark.parametrize("nulls", [False, True])
 def test_random_series_match_pandas(spark, nulls, limits):
     rng = np.random.default_rng(0)
@@ -65,3 +65,9 @@ def test_null_run_longer_than_a_fold_block(spark):
     s = pd.Series(np.arange(9500, dtype=float))
     s[50:9300] = np.nan
     check(spark, {1: s})
+
+
+@pytest.mark.parametrize("values, nulls", [(4096, 4204), (4100, 9000), (8200, 3)])
+def test_null_run_after_values_on_both_sides_of_a_block_border(spark, values, nulls):
+    rng = np.random.default_rng(values)
+    check(spark, {1: pd.Series(np.concatenate([rng.normal(100, 50, values), np.full(nulls, np.nan), [7.0]][: 2 + (nulls < 10)]))})
