@@ -30,7 +30,7 @@ from spendcast.llm.store import Store
 
 LENGTH, PART = 400, 48
 SHARD_BYTES = 2 << 20
-SLICE_ROWS = 1 << 20
+SLICE_NAMES = 1 << 18
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,27 +186,30 @@ def piece_bytes(docs: DataFrame, spots, table, length: int, part: int) -> DataFr
     return _texts(docs).mapInArrow(run, "anchor long, doc long, start int, n int, data binary")
 
 
-def sharded(found: DataFrame, shard_bytes: int, length: int) -> DataFrame:
-    """Add ``shard`` and ``wide`` (the anchor is spread over several shards).
+def sharded(found: DataFrame, shard_bytes: int, length: int) -> tuple[DataFrame, int]:
+    """Add ``shard`` and ``wide`` (the anchor is spread over several shards), and
+    tell into how many slices the names of wide anchors' strings are to be cut.
 
     Anchors share shards by hash; one with more than ``shard_bytes`` gets as many
     parts as it fills, its pieces dealt by a hash of their coordinates."""
     size = F.col("n") + F.lit(length - 1)
     anchors = found.groupBy("anchor").agg(F.sum(size).alias("bytes")).withColumn("parts", F.ceil(F.col("bytes") / shard_bytes).cast("int"))
-    total = found.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    shards = max(1, -(-2 * total // shard_bytes))
+    total, wide = anchors.agg(F.sum("bytes"), F.sum(F.when(F.col("parts") > 1, F.col("bytes")))).first()
+    shards = max(1, -(-2 * (total or 0) // shard_bytes))
     dealt = F.pmod(F.xxhash64("doc", "start"), F.col("parts"))
-    return found.join(anchors.drop("bytes"), "anchor").withColumn("wide", F.col("parts") > 1).withColumn(
+    rows = found.join(anchors.drop("bytes"), "anchor").withColumn("wide", F.col("parts") > 1).withColumn(
         "shard", F.when(F.col("wide"), F.xxhash64("anchor", dealt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     ).drop("parts")
+    return rows, max(1, -(-(wide or 0) // SLICE_NAMES))
 
 
-def shard_strings(rows: DataFrame, length: int) -> DataFrame:
-    """Per shard: ``doc, start, n`` of repeated strings (``a`` null), and the names
-    ``a, b`` of one string per class of wide anchors, for merging."""
-    schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+def shard_strings(rows: DataFrame, length: int, slices: int) -> DataFrame:
+    """Per shard: ``doc, start, n`` of repeated strings (``slice`` null), and a sorted
+    run of names and places per slice (``run``): one string of each class of wide
+    anchors, for merging with other shards."""
+    schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("slice", pa.int64()), ("run", pa.binary())])
 
-    def run(key, table):
+    def run(table):
         table = table.combine_chunks()
         raw, offsets = text_buffer(table.column("data"))
         text = raw[offsets[0] : offsets[-1]]
@@ -223,38 +226,42 @@ def shard_strings(rows: DataFrame, length: int) -> DataFrame:
         head[1:] = (twice[1:] != twice[:-1] + 1) | (owner[twice[1:]] != owner[twice[:-1]])
         at = np.flatnonzero(head)
         size = np.diff(np.append(at, len(twice)))
-        none = pa.nulls(len(at), pa.int64())
-        out = pa.table([pa.array(doc[owner[twice[at]]]), pa.array(start[twice[at]], pa.int32()), pa.array(size, pa.int32()), none, none], schema=schema)
+        none = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())]
+        out = pa.table([pa.array(doc[owner[twice[at]]]), pa.array(start[twice[at]], pa.int32()), pa.array(size, pa.int32()), *none], schema=schema)
         wide = np.flatnonzero(table.column("wide").to_numpy(zero_copy_only=False)[owner])
         if len(wide):
             _, one = np.unique(number[wide], return_index=True)
             one = wide[one]
             a, b = SpanHash(_VALUE[text])(place[one], place[one] + length)
-            more = pa.table([pa.array(doc[owner[one]]), pa.array(start[one], pa.int32()), pa.array(np.ones(len(one)), pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=schema)
+            slice_ = (a % np.uint64(slices)).astype(np.int64)
+            order = np.lexsort((b, a, slice_))
+            packed = np.stack([a.view(np.int64), b.view(np.int64), doc[owner[one]], start[one].astype(np.int64)], 1)[order]
+            cut = np.searchsorted(slice_[order], np.arange(slices + 1))
+            used = np.flatnonzero(np.diff(cut))
+            none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+            more = pa.table([*none, pa.array(used), pa.array([packed[cut[s] : cut[s + 1]].tobytes() for s in used], pa.binary())], schema=schema)
             out = pa.concat_tables([out, more])
         return out
 
-    return rows.groupBy("shard").applyInArrow(run, "doc long, start int, n int, a long, b long")
+    return rows.groupBy("shard").applyInArrow(run, "doc long, start int, n int, slice long, run binary")
 
 
-def merged(names: DataFrame) -> DataFrame:
+def merged(runs: DataFrame) -> DataFrame:
     """Strings that stand in several shards of one anchor: ``doc, start, n``.
 
-    Names are cut into slices; in a slice the shards' names are sorted together and
-    each is looked up by binary search."""
-    total = names.count()
-    slices = max(1, -(-total // SLICE_ROWS))
+    A slice merges the shards' sorted runs and looks each name up in the whole by
+    binary search; a shard gives a name once, so more places mean more shards."""
 
-    def run(key, table):
-        a, b = (table.column(c).to_numpy() for c in ("a", "b"))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        pair = np.cumsum(np.concatenate([[False], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        # A shard names a string once: more than one place means several shards.
-        twice = np.searchsorted(pair, pair, "right") - np.searchsorted(pair, pair, "left") > 1
-        return table.take(pa.array(order[twice])).select(["doc", "start", "n"])
+    def run(table):
+        rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 4) for x in table.column("run").to_pylist()])
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        fresh = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])
+        name = np.cumsum(np.concatenate([[False], fresh]))
+        twice = np.searchsorted(name, name, "right") - np.searchsorted(name, name, "left") > 1
+        found = rows[twice]
+        return pa.table({"doc": pa.array(found[:, 2]), "start": pa.array(found[:, 3], pa.int32()), "n": pa.array(np.ones(len(found)), pa.int32())})
 
-    return names.withColumn("slice", F.pmod("a", F.lit(slices))).groupBy("slice").applyInArrow(run, "doc long, start int, n int")
+    return runs.groupBy("slice").applyInArrow(run, "doc long, start int, n int")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shard_bytes: int = SHARD_BYTES, store: Store | None = None) -> DataFrame:
@@ -273,9 +280,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shar
     forked = names.join(forks, "anchor").select("first.doc", "first.start")
     spots = context.broadcast(bit_table(spots_of(forked)))
     rows = store.put(piece_bytes(docs, spots, table, length, part), "piece-bytes")
-    inside = store.put(shard_strings(sharded(rows, shard_bytes, length), length), "shard-strings")
-    across = merged(inside.filter("a IS NOT NULL"))
-    spans = whole.unionByName(inside.filter("a IS NULL").select("doc", "start", "n")).unionByName(across)
+    dealt, slices = sharded(rows, shard_bytes, length)
+    inside = store.put(shard_strings(dealt, length, slices), "shard-strings")
+    across = merged(inside.filter("slice IS NOT NULL").select("slice", "run"))
+    spans = whole.unionByName(inside.filter("slice IS NULL").select("doc", "start", "n")).unionByName(across)
     out = store.put(spans.distinct().select("doc", "start", (F.col("n") + F.lit(length - 1)).alias("bytes")), "byte-spans")
     store.drop("pieces", "piece-names", "piece-bytes", "shard-strings")
     return out
