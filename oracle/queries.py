@@ -154,7 +154,7 @@ ORACLES: dict[str, str] = {
     "month_windows": f"""WITH {LOG}, w AS (SELECT * FROM (VALUES {', '.join(str((s, x[1:], lo, hi)) for s, x, lo, hi in window_frames() + season_frames())}) t(split, name, first, last))
 SELECT split, name, first, strftime((last || '-01')::DATE + INTERVAL 1 MONTH, '%Y-%m') AS until,
   count(*) AS rows, {rounded('sum(total)')} AS total FROM log JOIN w ON year_month BETWEEN first AND last GROUP BY split, name, first, last""",
-    "history_before": f"WITH {LOG} SELECT {PRICE}, split FROM log JOIN (VALUES ('train', '{PREVIOUS}'), ('test', '{MONTH}')) f(split, cut) ON year_month < cut",
+    "history_before": f"WITH {LOG} SELECT {PRICE.replace('*', '* EXCLUDE (cut)', 1)} FROM log JOIN (VALUES ('train', '{PREVIOUS}'), ('test', '{MONTH}')) f(split, cut) ON year_month < cut",
     "first_customer_rows": f"WITH {LOG} SELECT {PRICE} FROM log WHERE customer_id = (SELECT min(customer_id) FROM log)",
     "alpha_codes": "SELECT DISTINCT code AS product_id FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE p_brand END AS code FROM part) WHERE regexp_full_match(code, '[A-Za-z]+')",
     "log_head": f"WITH {LOG} SELECT {PRICE} FROM (SELECT * FROM log ORDER BY {ORDER} LIMIT 5)",
