@@ -104,22 +104,32 @@ def pieces(symbols: np.ndarray, first: np.ndarray, length: int, part: int) -> Pi
     return Pieces(place[begin], size, keys[anchor_at[begin]], anchor_at[begin])
 
 
+def unpacked(packed: dict[int, bytes], bits: int) -> np.ndarray:
+    """The whole of a table sent as compressed slices; absent ones are empty."""
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    read = zstandard.ZstdDecompressor()
+    for s, data in packed.items():
+        part = np.frombuffer(read.decompress(data), np.uint8)
+        out[s * len(part) : (s + 1) * len(part)] = part
+    return out
+
+
 class BitTable:
     """Membership by one bit per hash; never misses a member."""
 
-    def __init__(self, packed: bytes):
-        self.bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    def __init__(self, packed: dict[int, bytes]):
+        self.bits = unpacked(packed, TABLE_BITS)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - TABLE_BITS)
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def bit_table(hashes: DataFrame) -> bytes:
-    """The table of a one-column DataFrame of 64-bit hashes, compressed.
+def bit_table(hashes: DataFrame) -> dict[int, bytes]:
+    """The table of a one-column DataFrame of 64-bit hashes, in compressed slices.
 
-    Bits are found and packed on the executors; the driver gets SLICES strings
-    that are 32 MiB together however many hashes there are."""
+    Bits are found, packed and compressed on the executors; the driver gets SLICES
+    strings of at most 32 MiB together however many hashes there are."""
     column = hashes.columns[0]
     width = TABLE_BITS - SLICES.bit_length() + 1
     bits = hashes.select(F.shiftrightunsigned(column, 64 - TABLE_BITS).alias("bit")).distinct()
@@ -127,18 +137,14 @@ def bit_table(hashes: DataFrame) -> bytes:
     def pack(key, table):
         flags = np.zeros(1 << width, np.uint8)
         flags[table.column("bit").to_numpy() & ((1 << width) - 1)] = 1
-        data = np.packbits(flags, bitorder="little").tobytes()
+        data = zstandard.ZstdCompressor(level=1).compress(np.packbits(flags, bitorder="little").tobytes())
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([data], pa.binary())})
 
     sliced = bits.withColumn("slice", F.shiftright("bit", width)).groupBy("slice").applyInArrow(pack, "slice long, data binary")
-    out = bytearray(1 << (TABLE_BITS - 3))
-    size = len(out) // SLICES
-    for s, data in sliced.toLocalIterator():
-        out[s * size : (s + 1) * size] = data
-    return zstandard.ZstdCompressor(level=1).compress(bytes(out))
+    return {r["slice"]: bytes(r["data"]) for r in sliced.collect()}
 
 
-def repeated_anchors(counted: DataFrame) -> bytes:
+def repeated_anchors(counted: DataFrame) -> dict[int, bytes]:
     """Bit table of anchors that occur at least twice; ``counted`` has ``anchor, n``."""
     twice = counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
     return bit_table(twice)

@@ -29,6 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spendcast.llm.anchors import unpacked
 from spendcast.llm.batches import mix, small_batches, word_groups
 from spendcast.sources.scratch import scratch_folder
 
@@ -53,8 +54,8 @@ def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class LogFrequencyFilter:
     """Reads quantised counts back from the packed bits."""
 
-    def __init__(self, packed: bytes):
-        self.bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    def __init__(self, packed: dict[int, bytes]):
+        self.bits = unpacked(packed, FILTER_BITS)
 
     def levels(self, keys: np.ndarray, most: int = 64) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
@@ -155,7 +156,7 @@ def _with_ends(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 class Model:
     """What the workers need: the packed filter, frequent words, totals."""
 
-    bits: bytes
+    bits: dict[int, bytes]
     words: np.ndarray  # hashes of frequent words, sorted
     counts: np.ndarray
     symbols: np.ndarray  # hashes that stand for themselves in pairs, sorted
@@ -237,14 +238,14 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
                         if s not in slices:
                             slices[s] = np.zeros(width, bool)
                         slices[s][order[lo:hi] - s * width] = True
-        packed = [np.packbits(b, bitorder="little").tobytes() for b in slices.values()]
+        write = zstandard.ZstdCompressor(level=1)
+        packed = [write.compress(np.packbits(b, bitorder="little").tobytes()) for b in slices.values()]
         yield pa.RecordBatch.from_pydict({"slice": pa.array(list(slices), pa.int64()), "data": pa.array(packed, pa.binary())})
 
     summed = dealt.groupBy("slice", "key").agg(F.sum("n").alias("n")).select("key", "n")
-    bits = bytearray(1 << (FILTER_BITS - 3))
-    for s, data in summed.mapInArrow(pack, "slice long, data binary").toLocalIterator():  # the filter's fixed size
-        bits[s * len(data) : (s + 1) * len(data)] = data
-    return Model(zstandard.ZstdCompressor(level=1).compress(bytes(bits)), keys, n, symbols, words + texts, distinct + (texts > 0), texts, words - known), counts
+    packed = summed.mapInArrow(pack, "slice long, data binary").collect()  # the filter's fixed size at most
+    bits = {r["slice"]: bytes(r["data"]) for r in packed}
+    return Model(bits, keys, n, symbols, words + texts, distinct + (texts > 0), texts, words - known), counts
 
 
 def model_scores(hashes: np.ndarray, first: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:

@@ -6,9 +6,9 @@ signature coordinate. Documents that agree on a band of coordinates are compared
 on their full sets, and confirmed links join into components.
 
 Equal sets form a class first, so copies are never paired. In a bucket each class
-is compared with one leader. Classes still apart afterwards are compared with
-each other unless the triangle inequality of the Jaccard distance (from their
-known distances to the leader) rules a link out. Nothing is capped.
+is compared with a few leaders. Classes still apart afterwards are compared with
+each other unless what both share with a leader, and with each other beside it,
+is too little for a link. Nothing is capped.
 
 Edge cases: null or empty texts and texts without words have the empty set and
 are linked with nothing; with fewer words than a shingle the sequence is one
@@ -30,7 +30,7 @@ from spendcast.llm.anchors import BitTable, bit_table
 from spendcast.llm.batches import mix, small_batches, windows, word_groups
 from spendcast.llm.components import components
 from spendcast.llm.substring_dedup import spot, spots_of
-from spendcast.sources.scratch import scratch_folder
+from spendcast.llm.store import Store
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,7 @@ class Similarity:
 
 QUERY = Similarity(words=3, percent=85, bands=26, rows=5)  # misses 2.4e-7
 STAGE = Similarity(words=5, percent=80, bands=30, rows=4)  # misses 1.4e-7
+LEADERS = 3  # classes that a bucket is compared with before the rest is sought out
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -172,59 +173,62 @@ def full_sets(docs: DataFrame, how: Similarity, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    spark = docs.sparkSession
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_folder(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    rows = stored(sketches(docs, how), "sketches")
+    store = Store(docs.sparkSession)
+    rows = store.put(sketches(docs, how), "sketches")
     some = rows.filter("key IS NOT NULL")
-    classes = stored(some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    banded = stored(repeated_bands(classes), "bands")
-    # The leader of a bucket is its class with the largest company over all bands:
-    # in a group of copies that is one near their common origin.
-    company = banded.groupBy("key").agg(F.sum("classes").alias("company"))
-    ranked = banded.join(company, "key")
-    leaders = ranked.groupBy("band").agg(F.max(F.struct("company", "rep", "n", "key")).alias("leader"))
-    buckets = stored(banded.drop("classes").join(leaders, "band"), "buckets")
+    classes = store.put(some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    found = store.put(repeated_bands(classes), "bands")
+    company = found.groupBy("key").agg(F.sum("classes").alias("company"))
+    banded = store.put(found.drop("classes").join(company, "key"), "buckets")
+    sets = store.put(full_sets(docs, how, banded.select(F.col("rep").alias("doc_id")).distinct()), "sets")
 
     def fits(a: str, b: str):
         return F.least(a, b) * 100 >= F.greatest(a, b) * how.percent
 
     inter = F.size(F.array_intersect("x", "y")).cast("long")
+    total = (F.size("x") + F.size("y")).cast("long")
     enough = F.col("inter") * (100 + how.percent) >= F.col("total") * how.percent  # inter / (total - inter) >= s
 
-    def sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def sides(pairs: DataFrame) -> DataFrame:
         return pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(
             sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b"
         )
 
-    led = stored(
-        buckets.filter(F.col("key") != F.col("leader.key")).filter(fits("n", "leader.n"))
-        .select(F.col("leader.key").alias("a"), F.col("key").alias("b"), F.col("leader.rep").alias("a_rep"), F.col("rep").alias("b_rep")).distinct(),
-        "led",
-    )
-    reps = led.select(F.col("a_rep").alias("doc_id")).union(led.select("b_rep")).distinct()
-    sets = stored(full_sets(docs, how, reps), "sets")
-    tested = stored(
-        sides(led.select("a", "b"), sets).select("a", "b", inter.alias("inter"), (F.size("x") + F.size("y")).cast("long").alias("total"), F.array_except("y", "x").alias("own")),
-        "tested",
-    )
-    links = tested.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    def linked(found: DataFrame) -> DataFrame:
+        return found.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    # A bucket is compared with its class of the largest company over all bands, in a
+    # group of copies one near their common origin; then with the same of what
+    # is linked to none of its leaders yet, and so on.
+    members, leads, tested, roots = banded, None, None, None
+    for r in range(LEADERS):
+        leaders = members.groupBy("band").agg(F.max(F.struct("company", "rep", "n", "key")).alias("lead"))
+        pairs = banded.join(leaders, "band").filter(F.col("key") != F.col("lead.key")).filter(fits("n", "lead.n"))
+        pairs = pairs.select(F.col("lead.key").alias("a"), F.col("key").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        now = store.put(sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total"), F.array_except("y", "x").alias("own")), f"tested-{r}")
+        own = store.put(leaders.select("band", F.col("lead.key").alias("lead")), f"leads-{r}")
+        tested = now if tested is None else tested.unionByName(now)
+        leads = own if leads is None else leads.unionByName(own)
+        roots = components(linked(tested)).withColumnRenamed("node", "key")
+        rooted = banded.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        led = leads.join(roots, leads["lead"] == roots["key"], "left").select("band", F.coalesce("root", "lead").alias("root"))
+        members = store.put(rooted.join(led, ["band", "root"], "left_anti"), f"left-{r}")
+        if members.isEmpty():
+            break
     # Classes of one bucket that are still apart. Two of them share at most what both
-    # share with the leader plus what they share beside it; only pairs for which
-    # that is enough are compared.
-    roots = components(links).withColumnRenamed("node", "key")
-    apart = buckets.join(roots, "key", "left").select(
-        "band", "key", "rep", "n", F.coalesce("root", "key").alias("root"), F.col("leader.key").alias("lead")
-    )
-    mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
+    # share with a leader plus what they share beside it; only pairs for which that
+    # is enough are compared, seen from the leader that one of them is most like.
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
+    inside = store.put(rooted.join(mixed, "band").select("band", "key", "n", "root"), "mixed")
     known = tested.select(F.col("a").alias("lead"), F.col("b").alias("key"), "inter", "total", "own")
-    apart = apart.join(mixed, "band").filter("key <> lead").join(known, ["lead", "key"], "left")
-    met = stored(apart.filter("inter IS NOT NULL").dropDuplicates(["lead", "key"]), "apart")
-    odd = stored(apart.filter("inter IS NULL").drop("own", "inter", "total"), "odd")  # of a size that can't link to the leader
+    against = inside.join(leads, "band").filter("key <> lead").join(known.drop("own"), ["lead", "key"], "left")
+    against = store.put(against, "against")
+    odd = against.filter("inter IS NULL").select("band", "key", "n", "root").distinct()  # too far in size to link to a leader
+    met = store.put(against.filter("inter IS NOT NULL").drop("band").dropDuplicates(["lead", "key"]).join(known.select("lead", "key", "own"), ["lead", "key"]), "met")
+    alike = F.col("inter") / (F.col("total") - F.col("inter"))
+    best = against.filter("inter IS NOT NULL").groupBy("band", "key").agg(F.max_by("lead", F.struct(alike, "lead")).alias("lead")).select("lead", "key").distinct()
     different = (F.col("x.root") != F.col("y.root")) & fits("x.n", "y.n")
     # Without anything shared beside the leader a partner's size is bounded by the
     # own part of the leader. One of the two is not linked to the leader, which
@@ -239,25 +243,24 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
         & (F.col("y.n") <= F.col("x.most")) & (F.col("x.n") <= F.col("y.most")),
     ).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
     beside = met.select("lead", "key", "n", "root", "inter", F.explode("own").alias("extra"))
-    shared = beside.alias("x").join(
+    nearest = beside.join(best, ["lead", "key"])
+    shared = nearest.alias("x").join(
         beside.alias("y"),
-        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.extra") == F.col("y.extra")) & (F.col("x.key") < F.col("y.key")) & different,
+        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.extra") == F.col("y.extra")) & (F.col("x.key") != F.col("y.key")) & different,
     )
     both = shared.groupBy(
-        F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.n"), F.col("y.n").alias("m"), F.least("x.inter", "y.inter").alias("inter"), F.col("x.lead")
+        F.col("x.lead"), F.col("x.key").alias("x_key"), F.col("y.key").alias("y_key"), F.col("x.n"), F.col("y.n").alias("m"), F.least("x.inter", "y.inter").alias("inter")
     ).agg(F.count(F.lit(1)).alias("more"))
-    both = both.filter((F.col("inter") + F.col("more")) * (100 + how.percent) >= (F.col("n") + F.col("m")) * how.percent).select("a", "b")
-    rest = apart.select("band", "key", "n", "root")
-    unlike = odd.alias("x").join(rest.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") != F.col("y.key")) & different).select(
+    both = both.filter((F.col("inter") + F.col("more")) * (100 + how.percent) >= (F.col("n") + F.col("m")) * how.percent)
+    both = both.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b"))
+    unlike = odd.alias("x").join(inside.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") != F.col("y.key")) & different).select(
         F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
     )
-    pairs = stored(lone.union(both).union(unlike).distinct(), "rest")
+    pairs = store.put(lone.union(both).union(unlike).distinct(), "rest")
     if not pairs.isEmpty():
-        also = odd.select("rep").union(apart.select("rep")).distinct().withColumnRenamed("rep", "doc_id")
-        sets = sets.unionByName(full_sets(docs, how, also)).dropDuplicates(["key"]) if not odd.isEmpty() else sets
-        more = sides(pairs, sets).select("a", "b", inter.alias("inter"), (F.size("x") + F.size("y")).cast("long").alias("total"))
-        links = links.unionByName(more.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        roots = components(links).withColumnRenamed("node", "key")
+        more = linked(sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total")))
+        roots = components(linked(tested).unionByName(more)).withColumnRenamed("node", "key")
+    store.drop(*(name for name in list(store.paths) if name not in ("sketches", "classes")))
     # The least document of each component of classes.
     reps = classes.select("key", "rep").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
