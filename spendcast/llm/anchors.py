@@ -19,6 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from spendcast.llm.batches import mix
+from spendcast.llm.store import brief_shuffles
 
 TABLE_BITS = 28  # 32 MiB on every worker
 SLICES = 256
@@ -140,8 +141,9 @@ def bit_table(hashes: DataFrame) -> dict[int, bytes]:
         data = zstandard.ZstdCompressor(level=1).compress(np.packbits(flags, bitorder="little").tobytes())
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([data], pa.binary())})
 
-    sliced = bits.withColumn("slice", F.shiftright("bit", width)).groupBy("slice").applyInArrow(pack, "slice long, data binary")
-    return {r["slice"]: bytes(r["data"]) for r in sliced.collect()}
+    with brief_shuffles(hashes.sparkSession):
+        sliced = bits.withColumn("slice", F.shiftright("bit", width)).groupBy("slice").applyInArrow(pack, "slice long, data binary")
+        return {r["slice"]: bytes(r["data"]) for r in sliced.collect()}
 
 
 def repeated_anchors(counted: DataFrame) -> dict[int, bytes]:

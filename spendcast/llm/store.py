@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spendcast.sources.scratch import scratch_folder
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of an action go when it ends, not when the driver
+    happens to collect its garbage. For actions whose result is stored or small."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 class Store:
     """Keeps the tables of one job by name and drops those no longer needed.
 
@@ -18,7 +39,8 @@ class Store:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_folder(self.spark, name)
-        df.write.parquet(path)
+        with brief_shuffles(self.spark):
+            df.write.parquet(path)
         self.paths[name] = path
         return self.spark.read.parquet(path)
 
