@@ -1,6 +1,6 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of words and of word pairs are quantised on a logarithmic scale; level
+Words are read with A-Z lower-cased. Counts of words and of word pairs are quantised on a logarithmic scale; level
 ``j`` of an n-gram is a member of the filter for every ``j`` up to its own, so
 probing levels until one is missing reads the count back. The filter has a fixed
 number of bits, is packed on the executors and broadcast. Pairs are smoothed by
@@ -204,7 +204,7 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the training rows and their exact word counts."""
     spark = rows.sparkSession
     path = scratch_folder(spark, "word-counts")
-    _counted(rows, lambda w: w.hashes()).groupBy("key").agg(F.sum("n").alias("n")).write.parquet(path)
+    _counted(rows, lambda w: w.hashes(lower=True)).groupBy("key").agg(F.sum("n").alias("n")).write.parquet(path)
     counts = spark.read.parquet(path)
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = rows.filter("NOT held_out").count()
@@ -214,7 +214,7 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     shared = spark.sparkContext.broadcast(symbols)
 
     def pairs_of(w):
-        _, _, symbol, left = _pairs(w.hashes(), w.first, shared.value)
+        _, _, symbol, left = _pairs(w.hashes(lower=True), w.first, shared.value)
         return pair_key(left, symbol)
 
     pairs = _counted(rows, pairs_of)
@@ -293,7 +293,7 @@ def score(docs: DataFrame) -> DataFrame:
         for batch in batches:
             n_tokens, known, base, scores, tails, sizes = [], [], [], [], [], []
             for _, _, w in word_groups(batch.column(1)):
-                hashes, texts = w.hashes(), len(w.count)
+                hashes, texts = w.hashes(lower=True), len(w.count)
                 tokens, at = _with_ends(hashes, w.first)
                 by = np.repeat(np.arange(texts), np.diff(at))
                 scores.append(np.bincount(by, model_scores(hashes, w.first, model, counts), texts))

@@ -12,7 +12,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 
 from spendcast.llm import batches, bpe, classifier, fingerprints, lm_score, rules, secrets
-from tests.llm.frames import corpus, documents, table, words
+from tests.llm.frames import LOWER, corpus, documents, table, words
 
 ROWS = corpus()
 
@@ -139,6 +139,27 @@ def test_lm_base_is_exact(spark, monkeypatch):
             assert abs(g["base_score"] - base) < 1e-9 * max(1, abs(base)) and math.isfinite(g["score"]) and g["score"] < 0
 
 
+def lm_expected(rows):
+    """Brute force of what op2 states exactly, over words with A-Z lower-cased."""
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in rows}
+    tokens = {i: words((t or "").translate(LOWER)) + [None] for i, t, *_ in rows}
+    c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
+    total = sum(c.values())
+    base = {i: sum(math.log10((c[x] + 0.5) / (total + 0.5 * (len(c) + 1))) for x in w) for i, w in tokens.items()}
+    return {i: (held[i], len(w), sum(c[x] > 0 for x in w), total, base[i]) for i, w in tokens.items()}
+
+
+@pytest.mark.parametrize("frequent", [1 << 19, 8])
+def test_lm_words_are_lower_cased(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+    rows = ROWS + [(900 + i, "The CAT the Cat É é zoo ZOO") for i in range(12)]
+    got = table(lm_score.score(documents(spark, rows)))
+    for i, (*exact, base) in lm_expected(rows).items():
+        g = got[i]
+        assert [g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]] == exact
+        assert abs(g["base_score"] - base) < 1e-9 * max(1, abs(base))
+
+
 def test_lm_edge_tables(spark):
     assert lm_score.score(documents(spark, [])).count() == 0
     only_held = [(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
