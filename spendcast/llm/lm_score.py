@@ -1,12 +1,11 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Words are read with A-Z lower-cased. Counts of words and of word pairs are quantised on a logarithmic scale; level
-``j`` of an n-gram is a member of the filter for every ``j`` up to its own, so
-probing levels until one is missing reads the count back. The filter has a fixed
-number of bits, is packed on the executors and broadcast. Pairs are smoothed by
-the words: ``(c(h, w) + mu * p(w)) / (c(h) + mu)``. In pairs, words outside the
-``SYMBOLS`` most frequent stand for one rare symbol, whose share a word gets by
-its own probability.
+Words are read with A-Z lower-cased. Counts of words and of word pairs are
+quantised on a logarithmic scale; level ``j`` of an n-gram is a member of the
+filter for every ``j`` up to its own, so probing levels until one is missing reads
+the count back. The filter is packed on the executors and broadcast. Every pair of
+words is counted. Pairs are smoothed by the words:
+``(c(h, w) + mu * p(w)) / (c(h) + mu)``.
 
 The exact unigram base is kept beside it: counts of frequent words are broadcast
 (their number is bounded), those of the rest are joined per document and word.
@@ -38,13 +37,13 @@ SLICE_BITS = 10
 PROBES = 2
 QUANT = 1.5
 FREQUENT = 1 << 19  # words whose exact counts are broadcast, at most
-SYMBOLS = 1 << 14  # words that stand for themselves in pairs, at most
+SYMBOLS = 1 << 14  # without effect; a test sets it
 FLUSH = 4_000_000  # distinct n-grams a task gathers before it passes them on
 MU = 50.0
 HELD_OUT = (5, 1)
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-END, RARE, START = (mix(np.array([i], np.uint64))[0] for i in (101, 102, 103))
+END, START = (mix(np.array([i], np.uint64))[0] for i in (101, 103))
 
 
 def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -159,11 +158,9 @@ class Model:
     bits: dict[int, bytes]
     words: np.ndarray  # hashes of frequent words, sorted
     counts: np.ndarray
-    symbols: np.ndarray  # hashes that stand for themselves in pairs, sorted
     tokens: int
     distinct: int
     texts: int
-    rare: int  # training tokens that are the rare symbol
 
     @property
     def scale(self) -> float:
@@ -184,20 +181,13 @@ def _top(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], table.column("n").to_numpy()[order]
 
 
-def _symbols(hashes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    at = np.minimum(np.searchsorted(symbols, hashes), max(len(symbols) - 1, 0))
-    known = symbols[at] == hashes if len(symbols) else np.zeros(len(hashes), bool)
-    return np.where(known, hashes, RARE)
-
-
-def _pairs(hashes: np.ndarray, first: np.ndarray, symbols: np.ndarray):
-    """Each token's symbol and its predecessor's, texts starting with START."""
+def _pairs(hashes: np.ndarray, first: np.ndarray):
+    """Each token and its predecessor, texts starting with START."""
     tokens, at = _with_ends(hashes, first)
-    symbol = np.where(tokens == END, END, _symbols(tokens, symbols))
-    left = np.empty_like(symbol)
-    left[1:] = symbol[:-1]
+    left = np.empty_like(tokens)
+    left[1:] = tokens[:-1]
     left[at[:-1]] = START
-    return tokens, at, symbol, left
+    return tokens, left
 
 
 def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
@@ -209,13 +199,10 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = rows.filter("NOT held_out").count()
     keys, n = _top(counts, FREQUENT)
-    symbols, _ = _top(counts, SYMBOLS)
-    known = int(n[np.isin(keys, symbols)].sum())
-    shared = spark.sparkContext.broadcast(symbols)
 
     def pairs_of(w):
-        _, _, symbol, left = _pairs(w.hashes(lower=True), w.first, shared.value)
-        return pair_key(left, symbol)
+        tokens, left = _pairs(w.hashes(lower=True), w.first)
+        return pair_key(left, tokens)
 
     pairs = _counted(rows, pairs_of)
     slice_ = F.shiftrightunsigned("key", 64 - SLICE_BITS)
@@ -245,35 +232,30 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
     summed = dealt.groupBy("slice", "key").agg(F.sum("n").alias("n")).select("key", "n")
     packed = summed.mapInArrow(pack, "slice long, data binary").collect()  # the filter's fixed size at most
     bits = {r["slice"]: bytes(r["data"]) for r in packed}
-    return Model(bits, keys, n, symbols, words + texts, distinct + (texts > 0), texts, words - known), counts
+    return Model(bits, keys, n, words + texts, distinct + (texts > 0), texts), counts
 
 
-def model_scores(hashes: np.ndarray, first: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:
-    """log10 probability of each token, end tokens included."""
-    tokens, at, symbol, left = _pairs(hashes, first, model.symbols)
-    key, back = np.unique(tokens, return_inverse=True)
+def word_counts(key: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:
+    """Counts of words, exact if they are frequent."""
     own = counts.counts(key)
-    place = np.minimum(np.searchsorted(model.words, key), max(len(model.words) - 1, 0))
     if len(model.words):
+        place = np.minimum(np.searchsorted(model.words, key), len(model.words) - 1)
         exact = model.words[place] == key
         own[exact] = model.counts[place[exact]]
-    own[key == END] = model.texts
-    word = (own + 0.5) / model.scale
-    word = word[back]
-    rare = symbol == RARE
-    rare_share = (model.rare + 0.5) / model.scale
-    base = np.where(rare, rare_share, word)
+    own[(key == END) | (key == START)] = model.texts
+    return own
+
+
+def model_scores(hashes: np.ndarray, first: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:
+    """log10 probability of each token, end tokens included."""
+    tokens, left = _pairs(hashes, first)
+    key, back = np.unique(tokens, return_inverse=True)
+    base = ((word_counts(key, model, counts) + 0.5) / model.scale)[back]
     context, where = np.unique(left, return_inverse=True)
-    seen = np.zeros(len(context))
-    place = np.minimum(np.searchsorted(model.words, context), max(len(model.words) - 1, 0))
-    if len(model.words):
-        exact = model.words[place] == context
-        seen[exact] = model.counts[place[exact]]
-    seen[context == RARE], seen[context == START] = model.rare, model.texts
-    pair, which = np.unique(pair_key(left, symbol), return_inverse=True)
-    met = np.minimum(counts.counts(pair)[which], seen[where])
-    chance = (met + MU * base) / (seen[where] + MU)
-    return np.log10(chance) + np.where(rare, np.log10(np.minimum(word / rare_share, 1.0)), 0.0)
+    seen = word_counts(context, model, counts)[where]
+    pair, which = np.unique(pair_key(left, tokens), return_inverse=True)
+    met = np.minimum(counts.counts(pair)[which], seen)
+    return np.log10((met + MU * base) / (seen + MU))
 
 
 def score(docs: DataFrame) -> DataFrame:

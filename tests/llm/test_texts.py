@@ -160,6 +160,27 @@ def test_lm_words_are_lower_cased(spark, monkeypatch, frequent):
         assert abs(g["base_score"] - base) < 1e-9 * max(1, abs(base))
 
 
+def lm_scores_expected(rows):
+    """Scores from quantised pair counts; words' own counts are exact."""
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in rows}
+    tokens = {i: words((t or "").translate(LOWER)) + ["\n"] for i, t, *_ in rows}
+    c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
+    c[None] = c["\n"]
+    pairs = Counter(p for i, w in tokens.items() if not held[i] for p in zip([None, *w], w))
+    scale = sum(n for x, n in c.items() if x) + 0.5 * len(c)
+    middle = lambda n: 0 if not n else n if n == 1 else lm_score.QUANT ** (lm_score.quantised(np.array([n]))[0] - 0.5)
+    chance = lambda h, x: (min(middle(pairs[h, x]), c[h]) + lm_score.MU * (c[x] + 0.5) / scale) / (c[h] + lm_score.MU)
+    return {i: sum(math.log10(chance(h, x)) for h, x in zip([None, *w], w)) for i, w in tokens.items()}
+
+
+def test_lm_pairs_of_all_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SYMBOLS", 8)  # pairs must not depend on it
+    rows = ROWS + [(900 + i, f"seldom{i // 3} Met{i // 3} here") for i in range(60)]
+    got = table(lm_score.score(documents(spark, rows)))
+    for i, want in lm_scores_expected(rows).items():
+        assert abs(got[i]["score"] - want) < 1e-9 * max(1, abs(want))
+
+
 def test_lm_edge_tables(spark):
     assert lm_score.score(documents(spark, [])).count() == 0
     only_held = [(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
