@@ -3,8 +3,9 @@
 Words are read with A-Z lower-cased. Counts of words and of word pairs are
 quantised on a logarithmic scale; level ``j`` of an n-gram is a member of the
 filter for every ``j`` up to its own, so probing levels until one is missing reads
-the count back. The filter is packed on the executors and broadcast. Every pair of
-words is counted. Pairs are smoothed by the words:
+the count back. The filter gets ``BITS_PER`` bits for each of these settings, so its
+false positives, 1.1 % a level, do not change with the input; it is packed on the
+executors and broadcast. Every pair of words is counted. Pairs are smoothed by the words:
 ``(c(h, w) + mu * p(w)) / (c(h) + mu)``.
 
 The exact unigram base is kept beside it: counts of frequent words are broadcast
@@ -28,13 +29,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm.anchors import unpacked
 from spendcast.llm.batches import mix, small_batches, word_groups
+from spendcast.llm.store import Store
 from spendcast.sources.scratch import scratch_folder
 
-FILTER_BITS = 28  # 32 MiB
+BITS_PER = 12  # filter bits for every (n-gram, level) that is set; with 3 probes 1.1 % false positives
 SLICE_BITS = 10
-PROBES = 2
+PROBES = 3
 QUANT = 1.5
 FREQUENT = 1 << 19  # words whose exact counts are broadcast, at most
 SYMBOLS = 1 << 14  # without effect; a test sets it
@@ -53,8 +54,12 @@ def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class LogFrequencyFilter:
     """Reads quantised counts back from the packed bits."""
 
-    def __init__(self, packed: dict[int, bytes]):
-        self.bits = unpacked(packed, FILTER_BITS)
+    def __init__(self, packed: dict[int, bytes], width: int):
+        self.width = width
+        self.bits = np.zeros(width >> 3 << SLICE_BITS, np.uint8)
+        read = zstandard.ZstdDecompressor()
+        for s, data in packed.items():
+            self.bits[s * width >> 3 : (s + 1) * width >> 3] = np.frombuffer(read.decompress(data), np.uint8)
 
     def levels(self, keys: np.ndarray, most: int = 64) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
@@ -62,7 +67,7 @@ class LogFrequencyFilter:
         for j in range(1, most + 1):
             hit = np.ones(len(active), bool)
             for probe in range(PROBES):
-                at = filter_bits(keys[active], np.full(len(active), j), probe)
+                at = filter_bits(keys[active], np.full(len(active), j), probe, self.width)
                 hit &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             active = active[hit]
             if not len(active):
@@ -76,11 +81,16 @@ class LogFrequencyFilter:
         return np.where(level == 0, 0.0, np.where(level == 1, 1.0, QUANT ** (level - 0.5)))
 
 
-def filter_bits(keys: np.ndarray, level: np.ndarray, probe: int) -> np.ndarray:
-    """Bit of a level of a key. The upper bits of the key alone choose the slice."""
-    high = (keys >> np.uint64(64 - SLICE_BITS)).astype(np.int64) << (FILTER_BITS - SLICE_BITS)
+def filter_bits(keys: np.ndarray, level: np.ndarray, probe: int, width: int) -> np.ndarray:
+    """Bit of a level of a key. The upper bits of the key alone choose the slice of ``width`` bits."""
+    slice_ = (keys >> np.uint64(64 - SLICE_BITS)).astype(np.int64)
     low = mix(keys + level.astype(np.uint64) * _GOLD + np.uint64(probe) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return high | (low >> np.uint64(64 - FILTER_BITS + SLICE_BITS)).astype(np.int64)
+    return slice_ * width + ((low >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64)
+
+
+def filter_width(settings: int) -> int:
+    """Bits of a slice, whole bytes, for so many set (n-gram, level)."""
+    return max(64, -(-settings * BITS_PER >> SLICE_BITS + 3) << 3)
 
 
 def quantised(count: np.ndarray) -> np.ndarray:
@@ -156,6 +166,7 @@ class Model:
     """What the workers need: the packed filter, frequent words, totals."""
 
     bits: dict[int, bytes]
+    width: int  # bits of a slice of the filter
     words: np.ndarray  # hashes of frequent words, sorted
     counts: np.ndarray
     tokens: int
@@ -204,10 +215,13 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
         tokens, left = _pairs(w.hashes(lower=True), w.first)
         return pair_key(left, tokens)
 
-    pairs = _counted(rows, pairs_of)
+    # The settings are counted first: the filter is as large as they need.
+    pairs = _counted(rows, pairs_of).groupBy("key").agg(F.sum("n").alias("n"))
+    grams = counts.unionByName(Store(spark).put(pairs, "pair-counts"))
+    level = 1 + F.floor(F.log("n") / math.log(QUANT) + 1e-9)
+    width = filter_width(grams.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0])
     slice_ = F.shiftrightunsigned("key", 64 - SLICE_BITS)
-    dealt = counts.unionByName(pairs).withColumn("slice", slice_).repartition("slice")
-    width = 1 << (FILTER_BITS - SLICE_BITS)
+    dealt = grams.withColumn("slice", slice_).repartition("slice").select("key", "n")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # All n-grams of a slice come to one task; it keeps bits only.
@@ -217,7 +231,7 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
             for j in range(1, int(levels.max(initial=0)) + 1):
                 own = keys[levels >= j]
                 for probe in range(PROBES):
-                    bit = filter_bits(own, np.full(len(own), j), probe)
+                    bit = filter_bits(own, np.full(len(own), j), probe, width)
                     order = np.sort(bit)
                     number = order // width
                     for s in np.unique(number).tolist():
@@ -229,10 +243,9 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
         packed = [write.compress(np.packbits(b, bitorder="little").tobytes()) for b in slices.values()]
         yield pa.RecordBatch.from_pydict({"slice": pa.array(list(slices), pa.int64()), "data": pa.array(packed, pa.binary())})
 
-    summed = dealt.groupBy("slice", "key").agg(F.sum("n").alias("n")).select("key", "n")
-    packed = summed.mapInArrow(pack, "slice long, data binary").collect()  # the filter's fixed size at most
+    packed = dealt.mapInArrow(pack, "slice long, data binary").collect()  # the filter's size at most
     bits = {r["slice"]: bytes(r["data"]) for r in packed}
-    return Model(bits, keys, n, words + texts, distinct + (texts > 0), texts), counts
+    return Model(bits, width, keys, n, words + texts, distinct + (texts > 0), texts), counts
 
 
 def word_counts(key: np.ndarray, model: Model, counts: LogFrequencyFilter) -> np.ndarray:
@@ -270,7 +283,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        counts = LogFrequencyFilter(model.bits)
+        counts = LogFrequencyFilter(model.bits, model.width)
         passed = 0
         for batch in batches:
             n_tokens, known, base, scores, tails, sizes = [], [], [], [], [], []

@@ -189,6 +189,24 @@ def test_lm_edge_tables(spark):
     assert sorted(r.n_tokens for r in got) == [1, 2, 2]
 
 
+def test_lm_filter_grows_with_its_settings():
+    rng = np.random.default_rng(4)
+    for n in (20_000, 400_000):
+        width = lm_score.filter_width(n)
+        keys = rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
+        bits = np.zeros(width << lm_score.SLICE_BITS, bool)
+        for probe in range(lm_score.PROBES):
+            bits[lm_score.filter_bits(keys, np.ones(n), probe, width)] = True
+        packed = np.packbits(bits.reshape(1 << lm_score.SLICE_BITS, width), axis=1, bitorder="little")
+        write = lm_score.zstandard.ZstdCompressor()
+        held = lm_score.LogFrequencyFilter({s: write.compress(p.tobytes()) for s, p in enumerate(packed)}, width)
+        assert (held.levels(keys) >= 1).all()
+        assert (held.levels(rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) << np.uint64(1)) > 0).mean() < 0.02
+    # 1.1e9 settings, the most projected for 30 GB: the bits, and so the chance, keep in step.
+    bits = lm_score.filter_width(1_100_000_000) << lm_score.SLICE_BITS
+    assert (1 - math.exp(-lm_score.PROBES * 1.1e9 / bits)) ** lm_score.PROBES < 0.012
+
+
 def test_log_frequency_levels():
     n = np.array([1, 2, 3, 10, 1000, 10**6])
     level = lm_score.quantised(n)
