@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, classifier, fingerprints, lm_score, mixing, near_dup, rules, secrets, substring_dedup, suffix_dedup
+from spendcast.llm import bpe, classifier, exact_dedup, fingerprints, lm_score, mixing, near_dup, rules, secrets, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.suffix_query,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
     "op10_substring_dedup": substring_dedup.substring_query,
+    "op12_exact_dedup": exact_dedup.exact_query,
 }
 
 ORACLES = {
     "op5_mix_sources": mixing.MIXING_SQL,
+    "op12_exact_dedup": exact_dedup.EXACT_SQL,
 }
