@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from spendcast.llm import bpe, classifier, exact_dedup, fingerprints, lm_score, mixing, near_dup, rules, secrets, substring_dedup, suffix_dedup
+from spendcast.llm import (
+    bpe, classifier, divergence, exact_dedup, fingerprints, lm_score, mixing, near_dup, rules, secrets,
+    substring_dedup, suffix_dedup, whitening,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.suffix_query,
@@ -15,10 +18,13 @@ QUERIES = {
     "op8_fingerprints": fingerprints.fingerprint_query,
     "op9_byte_bpe": bpe.bpe_query,
     "op10_substring_dedup": substring_dedup.substring_query,
+    "op11_source_divergence": divergence.divergence_query,
     "op12_exact_dedup": exact_dedup.exact_query,
+    "op13_whitening": whitening.whitening_query,
 }
 
 ORACLES = {
     "op5_mix_sources": mixing.MIXING_SQL,
+    "op11_source_divergence": divergence.DIVERGENCE_SQL,
     "op12_exact_dedup": exact_dedup.EXACT_SQL,
 }
