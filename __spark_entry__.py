@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oracle.queries import ORACLES
 from oracle.sql import rounded
-from spendcast.functions.months import cutoffs
-from spendcast.operators import blocks, evaluate, labels, models, prep, profile, series
+from spendcast.functions.months import cutoffs, shift_month
+from spendcast.operators import blocks, evaluate, labels, models, prep, profile, series, states
 from spendcast.plans import features, training
-from spendcast.sources import tables
+from spendcast.plans.store import FeatureStore
+from spendcast.sources import bucketed, tables
 from spendcast.sources.log import MEASURES, read_log_parquet, row_order, star_log, write_log
 from spendcast.sources.scratch import scratch_folder
 
@@ -180,6 +181,36 @@ def both_splits(build) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def month_states(spark: SparkSession, folder: str) -> DataFrame:
+    """What every customer's months add to any window, from the whole log."""
+    log = star_log(spark, folder)
+    return states.measure_states(states.month_states(log.filter("customer_id IS NOT NULL"), row_order(log)))
+
+
+def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table from a store that took the last two months one by one."""
+    log, before = star_log(spark, folder), shift_month(MONTH, -1)
+    store = FeatureStore(spark, scratch_folder(spark, "feature-store"))
+    store.begin(log, before)
+    store.advance(log, before)
+    store.advance(log, MONTH)
+    return round_columns(store.feature_table(MONTH, THRESHOLD))
+
+
+def bucketed_assembly(spark: SparkSession, folder: str) -> DataFrame:
+    """Features, labels with folds, and scores of the train split, saved by customer
+    and joined where they lie."""
+    log, cut = star_log(spark, folder), cutoffs(MONTH)["train"]
+    table = features.feature_table(log, MONTH, THRESHOLD).filter("split = 'train'").drop("split", "label")
+    spent = labels.label_month(log, cut, THRESHOLD).select("customer_id", "total", "label")
+    parts = {
+        "features": table, "labels": evaluate.stratified_folds(spent), "scores": member_scores(spark, folder, 0),
+    }
+    return bucketed.co_located(
+        *(bucketed.write_bucketed(df, bucketed.table_name(n), scratch_folder(spark, n), buckets=16) for n, df in parts.items())
+    )
+
+
 def habit(*names: str):
     return rounding(both_splits(
         lambda s, d, cut: labels.habits(totals(s, d), cut, THRESHOLD).select("customer_id", *names)
@@ -319,6 +350,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "season_stats_outer": rounding(lambda s, d: blocks.season_stats(log(s, d), MONTH, keep="outer")),
         "cumsum_features": rounding(lambda s, d: blocks.cumsum_features(log(s, d), MONTH)),
         "diff_features": rounding(lambda s, d: blocks.diff_features(log(s, d), MONTH)),
+        "month_states": rounding(month_states),
+        "incremental_features": incremental_features,
+        "bucketed_assembly": rounding(bucketed_assembly),
         # preparation
         "categorical_index": lambda s, d: prep.categorical_index(segments(s, d), "segment"),
         "impute_zero": prepared(lambda a, b, n: prep.impute(a, b, n, "zero")),

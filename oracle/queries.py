@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.sql import (
+    DECAY,
     DIFF_NAMES, DIFF_SQL, DIFFS, DISTINCT, HABIT_COLUMNS, HABITS, LABELS, LOG, MEASURES,
     MONTH, ORDER, PREVIOUS, RUNNING, RUNNING_NAMES, RUNNING_SQL, SEASON_NAMES, SPAN, STATS,
     TOTALS, WINDOW_NAMES, feature_table, frame_elements, history_elements, pivot,
@@ -250,3 +251,22 @@ ORACLES |= {
     "score_metrics": f"WITH {SCORES}, m AS (SELECT {_CONFUSION} FROM scores) SELECT {_METRICS} FROM m",
     "fold_metrics": f"WITH {SCORES}, m AS (SELECT fold, {_CONFUSION} FROM scores GROUP BY fold) SELECT fold, {_METRICS} FROM m",
 }
+
+# Month states, the feature table from a grown store, and tables joined by bucket.
+_STATE = ("total", "mean", "variance", "skewness", "low", "high", "first", "last", "decayed")
+ORACLES |= {
+    "month_states": f"""WITH {LOG}, placed AS (SELECT *, row_number() OVER (PARTITION BY customer_id, year_month ORDER BY {ORDER}) AS rn,
+  count(*) OVER (PARTITION BY customer_id, year_month) AS n FROM log),
+elements AS ({" UNION ALL ".join(f"SELECT customer_id, year_month, rn, n, '{m}' AS measure, {m}::DOUBLE AS x FROM placed" for m in ("quantity", "price", "total"))}),
+centred AS (SELECT *, avg(x) OVER (PARTITION BY customer_id, year_month, measure) AS mu FROM elements),
+s AS (SELECT customer_id, year_month, measure, count(*) AS rows, sum(x) AS total, avg(x) AS mean, avg(pow(x - mu, 2)) AS variance,
+  CASE WHEN min(x) = max(x) THEN 0 ELSE avg(pow(x - mu, 3)) / pow(avg(pow(x - mu, 2)), 1.5) END AS skewness, min(x) AS low, max(x) AS high,
+  arg_min(x, rn) AS first, arg_max(x, rn) AS last, sum(x * pow({DECAY}, n - rn)) AS decayed FROM centred GROUP BY ALL)
+SELECT customer_id, year_month, measure, rows, {round_all(_STATE)} FROM s""",
+    "incremental_features": feature_table(),
+    "bucketed_assembly": f"""WITH {LOG}, {TOTALS}, {LABELS}, t AS ({feature_table()}),
+f AS (SELECT customer_id, total, label, ((row_number() OVER (PARTITION BY label ORDER BY md5(customer_id::VARCHAR || '-42'), customer_id) - 1) % 10)::INT AS fold
+  FROM labels_ WHERE split = 'train')
+SELECT t.* EXCLUDE (split, label), {rounded('f.total')} AS total, f.label, f.fold, {rounded('((c_custkey * 7919) % 1000 / 1000.0::DOUBLE)')} AS probability
+FROM t LEFT JOIN f USING (customer_id) LEFT JOIN customer ON c_custkey = t.customer_id WHERE t.split = 'train'""",
+}

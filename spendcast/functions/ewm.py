@@ -15,6 +15,10 @@ collected array. ``T`` differs from 1 only for the first few hundred positions.
 
 from __future__ import annotations
 
+from functools import cache
+
+import numpy as np
+
 # Fixed value: centre of mass 9.5, so w = 1 - 1/(1 + 9.5).
 DECAY = 1.0 - 1.0 / 10.5
 HEAD = 400  # w**HEAD < 1e-17: T(HEAD) is 1 in double precision
@@ -54,3 +58,40 @@ def last_mean(tail_sum: str, n: str) -> str:
 
 def average_mean(head_sum: str, tail_sum: str, n: str) -> str:
     return f"({head_sum} - {head_weight(f'{n} + 1')} * {tail_sum} * {DECAY!r}D) / {n}"
+
+
+# A block of rows that starts after ``o`` others weighs its k-th row by T(o + k). As a
+# matrix over o and k that is 1 plus a sum of RANK products a_r(o) b_r(k), to double
+# precision, so RANK weighted sums of a block hold what every offset needs.
+RANK = 11
+
+
+@cache
+def _offset_factors() -> tuple[str, str]:
+    """``a`` and ``b`` as SQL arrays, row after row of HEAD numbers."""
+    weights, following = np.ones(2 * HEAD + 1), 1.0
+    for j in range(4 * HEAD, 0, -1):
+        following = (1.0 - DECAY) / (1.0 - DECAY**j) + DECAY * following
+        if j <= 2 * HEAD:
+            weights[j] = following
+    places = np.arange(1, HEAD + 1)
+    left, values, right = np.linalg.svd(weights[places[:, None] + places] - 1.0)
+    # A string is one literal in a plan, where an array of literals is thousands.
+    return tuple(
+        "cast(split('{}', ',') AS array<double>)".format(",".join(map(repr, table.ravel().tolist())))
+        for table in ((left * values).T[:RANK], right[:RANK])
+    )
+
+
+def block_folds(x: str, position: str) -> list[str]:
+    """SQL aggregates of a block: its values weighed by each ``b_r``."""
+    _, b = _offset_factors()
+    return [f"sum(if({position} <= {HEAD}, {x} * {b}[int({r * HEAD - 1} + {position})], 0D))" for r in range(RANK)]
+
+
+def offset_head(total: str, head: str, folds: str, offset: str) -> str:
+    """What a block with these sums adds to the head sum after ``offset`` rows.
+    ``head`` is its own head sum, as if it came first."""
+    a, _ = _offset_factors()
+    terms = " + ".join(f"{folds}[{r}] * {a}[int({r * HEAD - 1} + {offset})]" for r in range(RANK))
+    return f"if({offset} = 0, {head}, {total} + if({offset} <= {HEAD}, {terms}, 0D))"

@@ -1,16 +1,17 @@
 """Feature blocks at customer grain.
 
-All ordered blocks come from the same customer scan: each log row is placed in
-its customer's history once, and then contributes one element to every series
-(a measure in a month range) it belongs to. The ten statistics are ordinary
-aggregates over those elements, so the rows are shuffled by customer once for
-both splits and for every window.
+Month ranges (windows and seasons) merge month states, see states.py: a row is read
+once for all ranges of both splits. Series over the whole history come from a customer
+scan: each row is placed in its customer's history once, and then adds one element to
+every series it belongs to; the ten statistics are ordinary aggregates over those
+elements. Customers with nulls between values take the second way for ranges too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,7 +28,10 @@ from spendcast.functions.months import (
 )
 from spendcast.operators.scan import DEFAULT_LIMITS, HOT_ROWS, ScanLimits, hot_keys, scan
 from spendcast.operators.series import STATS, summarise
+from spendcast.operators.states import month_states, range_stats
+from spendcast.session import cut_lineage
 from spendcast.sources.log import MEASURES, month_range, row_order
+from spendcast.sources.scratch import stored
 
 SPLITS = ("train", "test")
 ITEMS = 16  # room for the value columns of one frame
@@ -92,6 +96,24 @@ def history_before(log: DataFrame, month: str) -> DataFrame:
     return month_range(log, until=month).filter(F.col("customer_id").isNotNull())
 
 
+def hot_by_key(rows: DataFrame, keys: Iterable[str], limits: ScanLimits) -> dict[str, DataFrame]:
+    """The values of each key column that have too many rows for one task, in one pass."""
+    types, keys = dict(rows.dtypes), list(keys)
+    named = ", ".join(f"struct('{k}' AS name, string(`{k}`) AS key)" for k in keys)
+    large = hot_keys(rows.selectExpr(f"inline(array({named}))"), ["name", "key"], limits)
+    return {
+        k: large.filter(F.col("name") == k).select(F.col("key").cast(types[k]).alias(k), HOT_ROWS)
+        for k in keys
+    }
+
+
+def prepared(log: DataFrame, first: str | None = None, until: str | None = None) -> DataFrame:
+    """The rows and columns that features read, stored: a log that is a join or a
+    scan of text is then read once, and afterwards as often as needed."""
+    rows = month_range(log, first, until).filter(F.col("customer_id").isNotNull())
+    return stored(rows.select("customer_id", "year_month", *dict.fromkeys([*row_order(log), *MEASURES])), "history")
+
+
 @dataclass(frozen=True)
 class LogFacts:
     """What planning needs to know of a history: whether any measure is null, and
@@ -109,14 +131,7 @@ class LogFacts:
         counted = history.agg(
             F.count(F.lit(1)).alias("rows"), *(F.count(m).alias(m) for m in MEASURES)
         ).first()
-        types = dict(history.dtypes)
-        named = ", ".join(f"struct('{k}' AS name, string(`{k}`) AS key)" for k in keys)
-        large = hot_keys(history.selectExpr(f"inline(array({named}))"), ["name", "key"], limits)
-        hot = {
-            k: large.filter(F.col("name") == k).select(F.col("key").cast(types[k]).alias(k), HOT_ROWS)
-            for k in keys
-        }
-        return cls(any(counted[m] < counted["rows"] for m in MEASURES), hot)
+        return cls(any(counted[m] < counted["rows"] for m in MEASURES), hot_by_key(history, keys, limits))
 
 
 def running_sums(
@@ -131,13 +146,12 @@ def running_sums(
     Rows whose key is null keep null sums.
     """
     order = row_order(log)
-    facts = facts or LogFacts.of(log, [RUNNING_KEYS[k] for k in keys], limits)
+    keys = list(keys)
+    hot = facts.hot if facts else hot_by_key(log, [RUNNING_KEYS[k] for k in keys], limits)
     for key in keys:
         column = RUNNING_KEYS[key]
         sums = {running_name(m, key): m for m in RUNNING_MEASURES}
-        log = scan(
-            log, [column], order, sums=sums, limits=limits, hot=facts.hot.get(column),
-        )
+        log = scan(log, [column], order, sums=sums, limits=limits, hot=hot.get(column))
         log = log.withColumns({n: F.when(F.col(column).isNotNull(), F.col(n)) for n in sums})
     return log
 
@@ -153,36 +167,93 @@ def consecutive_differences(log: DataFrame, *, limits: ScanLimits = DEFAULT_LIMI
 
 
 def frame_features(
-    log: DataFrame,
-    month: str,
-    frames: Sequence[Frame],
-    *,
-    limits: ScanLimits = DEFAULT_LIMITS,
-    facts: LogFacts | None = None,
+    log: DataFrame, month: str, frames: Sequence[Frame], *, limits: ScanLimits = DEFAULT_LIMITS
 ) -> DataFrame:
     """Wide statistics ``(customer_id, split, ...)`` of the given frames."""
-    packed, columns = packed_features(log, month, frames, limits=limits, facts=facts)
+    return wide_features(prepared(log, frames_start(frames), month), month, frames, limits)
+
+
+def wide_features(log: DataFrame, month: str, frames: Sequence[Frame], limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """``frame_features`` of a prepared log."""
+    packed, columns = packed_features(log, month, frames, limits=limits)
     return packed.selectExpr(
         "customer_id", "split", *(f"{e} AS `{name}`" for name, e in columns.items())
     )
 
 
+def frames_start(frames: Sequence[Frame]) -> str | None:
+    """The first month any frame reads; None for all history."""
+    firsts = [f.months.first for f in frames]
+    return None if None in firsts else min(firsts)
+
+
 def packed_features(
-    log: DataFrame,
-    month: str,
-    frames: Sequence[Frame],
-    *,
-    limits: ScanLimits = DEFAULT_LIMITS,
-    facts: LogFacts | None = None,
+    log: DataFrame, month: str, frames: Sequence[Frame], *, limits: ScanLimits = DEFAULT_LIMITS
 ) -> tuple[DataFrame, dict[str, str]]:
     """``(customer_id, split, m)`` with all statistics in one map, and the SQL
     that reads each feature from it. Joins then move one column, not hundreds.
+
+    The log is read several times, see ``prepared``.
     """
+    found = [stats(log, month, part, limits) for stats, part in ((row_stats, whole_frames(frames)), (monthly_stats, month_frames(frames))) if part]
+    # At most one entry per series: the map is bounded by the feature list.
+    wide = reduce(DataFrame.unionByName, found).groupBy("customer_id", "split").agg(F.expr(f"{STATS_MAP} AS m"))
+    packed = wide.selectExpr("customer_id", "if(split = 0, '{}', '{}') AS split".format(*SPLITS), "m")
+    return packed, feature_columns(frames, "m[{}]")
+
+
+STATS_MAP = f"map_from_entries(collect_list(struct(kind, struct({', '.join(STATS)}) AS s)))"
+
+
+def month_frames(frames: Sequence[Frame]) -> list[Frame]:
+    return [f for f in frames if f.months.first is not None]
+
+
+def whole_frames(frames: Sequence[Frame]) -> list[Frame]:
+    return [f for f in frames if f.months.first is None]
+
+
+def feature_columns(frames: Sequence[Frame], entry: str) -> dict[str, str]:
+    """Feature name -> SQL, ``entry`` being that of a series by its kind."""
+    by_slot = {f.slot: f for f in frames}
+    return {
+        f"{value}-{s}{f.suffix}": f"{entry.format(slot * ITEMS + item)}.{s}"
+        for slot, f in by_slot.items()
+        for item, value in enumerate(f.values)
+        for s in STATS
+    }
+
+
+def frame_ages(frames: Sequence[Frame], month: str) -> list[int]:
+    """The ages of the months at which frames start or end."""
+    return sorted({month_age(b, month) for f in frames for b in (f.months.first, f.months.until) if b})
+
+
+def monthly_stats(log: DataFrame, month: str, frames: Sequence[Frame], limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Statistics ``(customer_id, split, kind, ...)`` of month ranges of the measures."""
+    ages = frame_ages(frames, month)
+    history = month_range(history_before(log, month), first=shift_month(month, -ages[-1]))
+    null_check = " OR ".join(f"{m} IS NULL" for m in MEASURES)
+    counts = history.groupBy("year_month", "customer_id").agg(F.count(F.lit(1)).alias(HOT_ROWS), F.expr(f"count_if({null_check}) AS gaps"))
+    odd = cut_lineage(counts.filter((F.col(HOT_ROWS) > limits.group_rows) | (F.col("gaps") > 0)))
+    gaps = odd.filter("gaps > 0").select("customer_id").distinct()
+    some = not gaps.isEmpty()
+    plain = history.join(gaps, "customer_id", "left_anti") if some else history
+    states = month_states(plain, row_order(log), hot=odd.filter(F.col(HOT_ROWS) > limits.group_rows).drop("gaps"), limits=limits)
+    age = f"{month_number(month)} - {month_number_sql('year_month')}"
+    stats = range_stats(states, age, frames_by_age(frames, month, ages), ages, ITEMS)
+    if some:
+        stats = stats.unionByName(row_stats(history.join(gaps, "customer_id", "left_semi"), month, frames, limits))
+    return stats
+
+
+def row_stats(log: DataFrame, month: str, frames: Sequence[Frame], limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Statistics ``(customer_id, split, kind, ...)`` of series of single rows, of any
+    values and with nulls."""
     values = {v for f in frames for v in f.values}
     running = any(v in RUNNING_VALUES for v in values)
     diffs = any(v in DIFF_VALUES for v in values)
-    bounds = {b for f in frames for b in (f.months.first, f.months.until) if b}
-    ages = sorted(month_age(b, month) for b in bounds)
+    ages = frame_ages(frames, month)
     oldest = ages[-1]
     whole = any(f.months.first is None for f in frames)
 
@@ -192,7 +263,7 @@ def packed_features(
         history = month_range(history, first=shift_month(month, -oldest))
     order = row_order(log)
     scanned = RUNNING_KEYS.values() if running else ("customer_id",)
-    facts = facts or LogFacts.of(history, scanned, limits)
+    facts = LogFacts.of(history, scanned, limits)
     rows = history.select(
         "customer_id",
         F.expr(f"{month_number(month)} - {month_number_sql('year_month')}").alias("__age"),
@@ -224,7 +295,7 @@ def packed_features(
         *(v for v in RUNNING_VALUES if v in values),
         *(f"{c} - __lag_{c} AS {c}_diff" for c in DIFF_COLUMNS if f"{c}_diff" in values),
         "array({}) AS older".format(", ".join(["0L", *older])),
-        f"explode({_frames_by_age(frames, month, ages)}[least(__age, {oldest + 1})]) AS f",
+        f"explode({frames_by_age(frames, month, ages)}[least(__age, {oldest + 1})]) AS f",
     )
     by_slot = {f.slot: f for f in frames}
     lists = list(dict.fromkeys(f.values for f in by_slot.values()))
@@ -248,32 +319,16 @@ def packed_features(
         "customer_id", "split", f"slot * {ITEMS} + item AS kind", *gaps, "x", "r",
         f"position - int({' OR '.join(led)}) AS j" if led else "position AS j",
     )
-    stats = summarise(
+    return summarise(
         long, ["customer_id", "split", "kind"], gaps=F.col("__nulls") > 0 if gaps else None
     )
-    names = {
-        slot * ITEMS + item: (value, f.suffix)
-        for slot, f in by_slot.items()
-        for item, value in enumerate(f.values)
-    }
-    # At most one entry per series: the map is bounded by the feature list.
-    entry = f"struct(kind, struct({', '.join(STATS)}) AS s)"
-    wide = stats.groupBy("customer_id", "split").agg(
-        F.expr(f"map_from_entries(collect_list({entry}))").alias("m")
-    )
-    packed = wide.selectExpr(
-        "customer_id", "if(split = 0, '{}', '{}') AS split".format(*SPLITS), "m"
-    )
-    return packed, {
-        f"{v}-{s}{suffix}": f"m[{k}].{s}" for k, (v, suffix) in names.items() for s in STATS
-    }
 
 
 def month_age(earlier: str, month: str) -> int:
     return month_number(month) - month_number(earlier)
 
 
-def _frames_by_age(frames: Sequence[Frame], month: str, ages: Sequence[int]) -> str:
+def frames_by_age(frames: Sequence[Frame], month: str, ages: Sequence[int]) -> str:
     """SQL constant: the frames holding a month, indexed by its age.
 
     The last entry stands for every older month. A constant keeps the generated
@@ -317,7 +372,8 @@ def keep_seasons(columns: dict[str, str], keep: str) -> dict[str, str]:
 
 def season_stats(log: DataFrame, month: str, keep: str = "right", **options) -> DataFrame:
     """Statistics of the last three months and the same months a year before."""
-    packed, columns = packed_features(log, month, season_frames(month), **options)
+    frames = season_frames(month)
+    packed, columns = packed_features(prepared(log, frames_start(frames), month), month, frames, **options)
     kept = keep_seasons(columns, keep)
     if keep == "right":
         packed = packed.filter(f"{columns['total-sum-season1']} IS NOT NULL")
@@ -362,9 +418,10 @@ DISTINCT_COLUMNS = {"order_id-nunique": "order_id", "product_id-nunique": "produ
 SPAN_COLUMNS = {"order_ts-first": "first", "order_ts-last": "last"}
 
 
-def cumsum_features(log: DataFrame, month: str, **options) -> DataFrame:
+def cumsum_features(log: DataFrame, month: str, *, limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
     """Statistics of the running sums, with distinct order and product counts."""
-    wide = frame_features(log, month, history_frames(month, RUNNING_VALUES), **options)
+    log = prepared(log, until=month)
+    wide = wide_features(log, month, history_frames(month, RUNNING_VALUES), limits)
     counts = distinct_counts(log, month)
     joined = wide.join(counts, "customer_id", "left").withColumns(by_split(DISTINCT_COLUMNS))
     return joined.drop(*(c for c in counts.columns if c != "customer_id"))
@@ -387,9 +444,10 @@ def order_span(log: DataFrame, month: str) -> DataFrame:
     )
 
 
-def diff_features(log: DataFrame, month: str, **options) -> DataFrame:
+def diff_features(log: DataFrame, month: str, *, limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
     """First and last order time, and statistics of consecutive differences."""
-    wide = frame_features(log, month, history_frames(month, DIFF_VALUES), **options)
+    log = prepared(log, until=month)
+    wide = wide_features(log, month, history_frames(month, DIFF_VALUES), limits)
     span = order_span(log, month)
     joined = wide.join(span, "customer_id", "left").withColumns(by_split(SPAN_COLUMNS))
     return joined.drop(*(c for c in span.columns if c != "customer_id"))

@@ -12,8 +12,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -118,6 +120,71 @@ def best_round(losses: Sequence[float], patience: int) -> int:
     return best + 1
 
 
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model that boosting had after its first rounds; nothing is fitted again."""
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    jvm, trees, weights = context._jvm, model._java_obj.trees(), model.treeWeights
+    kept = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    heavy = context._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], heavy[i] = trees[i], float(weights[i])
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, kept, heavy, model.numFeatures, model.numClasses)
+    return GBTClassificationModel(model._java_obj.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap()))
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A boosted model cut to its best round, how many rounds were fitted to find it
+    (those of the last stage, which holds all earlier ones), and each round's AUC."""
+
+    model: GBTClassificationModel
+    fitted: int
+    scores: Sequence[float]
+
+
+def fit_staged(estimator: GBTClassifier, train: DataFrame, held: DataFrame, patience: int = 100, stage: int | None = None) -> Staged:
+    """Boost in growing stages until ``patience`` rounds bring no better AUC on ``held``.
+
+    A stage has twice the rounds of the one before, so all stages together fit less
+    than twice the rounds of the last, however many rounds ``maxIter`` would allow. The
+    same seed grows the same first trees, so only new trees are judged."""
+    most, rounds = estimator.getMaxIter(), stage or patience + 1
+    margins = cut_lineage(held.select("label", "features", F.lit(0.0).alias("margin")))
+    scores: list[float] = []
+    while True:
+        rounds = min(rounds, most)
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        found, margins = round_scores(model, margins, len(scores))
+        scores += found
+        best = best_round([-x for x in scores], patience)
+        if rounds - best >= patience or rounds >= most:
+            return Staged(first_trees(model, best), rounds, scores)
+        rounds *= 2
+
+
+def round_scores(model: GBTClassificationModel, margins: DataFrame, done: int) -> tuple[list[float], DataFrame]:
+    """AUC after each round from ``done`` on, and the margins after the last. ``margins``
+    has the sum of the trees before. One pass scores all new trees; a held-out fold
+    with one class only scores 0 throughout."""
+    new = list(zip(model.trees, model.treeWeights))[done:]
+    scored, terms = margins, []
+    for i, (tree, weight) in enumerate(new):
+        scored = tree.setPredictionCol(f"t{i}").transform(scored)
+        terms.append(f"t{i} * {float(weight)!r}D")
+    last = f"array({', '.join(terms)})"
+    summed = scored.selectExpr("label", "features", f"margin + aggregate({last}, 0D, (a, x) -> a + x) AS margin", "margin AS start", f"{last} AS steps")
+    summed = cut_lineage(summed)
+    running = (
+        "aggregate(steps, struct(start AS s, cast(array() AS array<double>) AS a), "
+        "(acc, x) -> struct(acc.s + x AS s, concat(acc.a, array(acc.s + x)) AS a), acc -> acc.a)"
+    )
+    rounds = summed.selectExpr("label", f"posexplode({running}) AS (round, score)")
+    found = {r["round"]: r["auc"] or 0.0 for r in auc(rounds, ["round"]).collect()}  # one row per round
+    return [found.get(i, 0.0) for i in range(len(new))], summed.select("label", "features", "margin")
+
+
 def out_of_fold(
     train: DataFrame,
     estimator: Estimator,
@@ -131,21 +198,17 @@ def out_of_fold(
 ) -> OutOfFold:
     """Train one model per fold on the other folds and score what it has not seen.
 
-    ``train`` has ``customer_id, label, fold, features``. Tree boosting is cut to
-    its best round on the held-out fold, sought until ``patience`` rounds bring
-    nothing better, unless ``early_stop`` is off.
+    ``train`` has ``customer_id, label, fold, features``. Tree boosting ends where the
+    AUC of the held-out fold has not risen for ``patience`` rounds, and keeps its best
+    round, unless ``early_stop`` is off.
     """
-    stops = early_stop and hasattr(estimator, "getMaxIter") and estimator.hasParam("validationIndicatorCol")
 
     def fit(fold: int) -> Model:
         others = train.filter(F.col("fold") != fold)
-        model = estimator.fit(others)
         held = train.filter(F.col("fold") == fold)
-        if not stops or held.isEmpty():
-            return model
-        best = best_round(model.evaluateEachIteration(held), patience)
-        # The same seed grows the same first trees.
-        return model if best == model.getNumTrees else estimator.copy({estimator.maxIter: best}).fit(others)
+        if not early_stop or not isinstance(estimator, GBTClassifier) or held.isEmpty():
+            return estimator.fit(others)
+        return fit_staged(estimator, others, held, patience).model
 
     with ThreadPoolExecutor(parallelism) as pool:
         models = list(pool.map(fit, range(folds)))

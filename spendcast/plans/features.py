@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from spendcast.functions.months import cutoffs, shift_month
 from spendcast.operators import blocks as B
 from spendcast.operators.labels import THRESHOLD, customer_months, customer_summary
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits
-from spendcast.sources.log import month_range
 
 BLOCKS = ("windows", "seasons", "running", "differences", "habits")
 
@@ -53,8 +52,8 @@ def feature_table(
     """
     if habit_threshold is None:
         habit_threshold = threshold
-    months = customer_months(month_range(log, until=shift_month(month, 1)))
-    base = customer_summary(months, month, threshold, habit_threshold)
+    log = B.prepared(log, until=shift_month(month, 1))
+    base = customer_summary(customer_months(log), month, threshold, habit_threshold)
     chosen = {"label": "label"} | ({n: n for n in HABITS} if "habits" in blocks else {})
     if "running" in blocks:
         base = base.join(B.distinct_counts(log, month), "customer_id", "left")
@@ -63,22 +62,42 @@ def feature_table(
         chosen |= B.SPAN_COLUMNS
 
     frames = block_frames(month, blocks)
-    wide, columns = (
-        B.packed_features(log, month, frames, limits=limits) if frames else (None, {})
-    )
-    if "seasons" in blocks:
-        columns = B.keep_seasons(columns, keep)
-    if any(f.months.first is None for f in frames):
-        # Every labelled customer has a history, so the wide rows are the right
-        # ones already and join on the key they are partitioned by.
+    ranges, series = B.month_frames(frames), B.whole_frames(frames)
+    if series:
+        # Every labelled customer has a history, so the rows of the series are the
+        # right ones already and join on the key they are partitioned by.
+        wide, columns = B.packed_features(log, month, series, limits=limits)
         joined = wide.join(base, "customer_id")
     else:
-        rows = ", ".join(f"'{s}'" for s in cutoffs(month))
-        joined = base.selectExpr("*", f"explode(array({rows})) AS split").filter(
+        columns = {}
+        joined = base.selectExpr("*", f"explode(array({', '.join(map(repr, B.SPLITS))})) AS split").filter(
             "if(split = 'train', train_label, test_label) IS NOT NULL"
         )
-        if wide is not None:
-            joined = joined.join(wide, ["customer_id", "split"], "left")
+    if ranges:
+        joined, found = joined.join(range_map(log, month, ranges, limits), "customer_id", "left"), B.feature_columns(ranges, RANGE_ENTRY)
+        # In the order of the blocks: ranges before whole histories.
+        columns = (B.keep_seasons(found, keep) if "seasons" in blocks else found) | columns
+    return labelled(joined, month, chosen, columns)
+
+
+KINDS = 1000  # more than any kind of a series
+RANGE_ENTRY = f"ranges[{{}} + if(split = 'train', 0, {KINDS})]"
+
+
+def range_map(log: DataFrame, month: str, frames: Sequence[B.Frame], limits: ScanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """``customer_id, ranges``: statistics of month ranges of both splits in one map,
+    so that they join on the customer alone."""
+    return packed_ranges(B.monthly_stats(log, month, frames, limits))
+
+
+def packed_ranges(stats: DataFrame) -> DataFrame:
+    kind = f"kind + split * {KINDS}"
+    return stats.selectExpr("customer_id", f"{kind} AS kind", *B.STATS).groupBy("customer_id").agg(F.expr(f"{B.STATS_MAP} AS ranges"))
+
+
+def labelled(joined: DataFrame, month: str, chosen: dict[str, str], columns: dict[str, str]) -> DataFrame:
+    """Keys, label and features of rows ``(customer_id, split, ...)``; what a customer lacks is 0.
+    ``chosen`` names the ``train_``/``test_`` columns, ``columns`` has the SQL of the rest."""
     cut = cutoffs(month)
     return joined.selectExpr(
         "customer_id",

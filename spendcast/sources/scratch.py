@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{tempfile.mkdtemp(prefix='spendcast-')}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to a new scratch folder and read back, which also cuts its lineage."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
