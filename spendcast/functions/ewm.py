@@ -67,8 +67,8 @@ RANK = 11
 
 
 @cache
-def _offset_factors() -> tuple[str, str]:
-    """``a`` and ``b`` as SQL arrays, row after row of HEAD numbers."""
+def _offset_factors() -> tuple[list[str], list[str]]:
+    """Each ``a_r`` and ``b_r`` as an SQL array of HEAD numbers."""
     weights, following = np.ones(2 * HEAD + 1), 1.0
     for j in range(4 * HEAD, 0, -1):
         following = (1.0 - DECAY) / (1.0 - DECAY**j) + DECAY * following
@@ -76,22 +76,22 @@ def _offset_factors() -> tuple[str, str]:
             weights[j] = following
     places = np.arange(1, HEAD + 1)
     left, values, right = np.linalg.svd(weights[places[:, None] + places] - 1.0)
-    # A string is one literal in a plan, where an array of literals is thousands.
+    # A string is one literal in a plan, where an array of literals is hundreds.
     return tuple(
-        "cast(split('{}', ',') AS array<double>)".format(",".join(map(repr, table.ravel().tolist())))
-        for table in ((left * values).T[:RANK], right[:RANK])
+        ["cast(split('{}', ',') AS array<double>)".format(",".join(map(repr, row.tolist()))) for row in table[:RANK]]
+        for table in ((left * values).T, right)
     )
 
 
 def block_folds(x: str, position: str) -> list[str]:
     """SQL aggregates of a block: its values weighed by each ``b_r``."""
     _, b = _offset_factors()
-    return [f"sum(if({position} <= {HEAD}, {x} * {b}[int({r * HEAD - 1} + {position})], 0D))" for r in range(RANK)]
+    return [f"sum(if({position} <= {HEAD}, {x} * {row}[int({position}) - 1], 0D))" for row in b]
 
 
 def offset_head(total: str, head: str, folds: str, offset: str) -> str:
     """What a block with these sums adds to the head sum after ``offset`` rows.
     ``head`` is its own head sum, as if it came first."""
     a, _ = _offset_factors()
-    terms = " + ".join(f"{folds}[{r}] * {a}[int({r * HEAD - 1} + {offset})]" for r in range(RANK))
+    terms = " + ".join(f"{folds}[{r}] * {row}[int({offset}) - 1]" for r, row in enumerate(a))
     return f"if({offset} = 0, {head}, {total} + if({offset} <= {HEAD}, {terms}, 0D))"
