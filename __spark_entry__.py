@@ -231,6 +231,15 @@ def feature_csv(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_features(spark, path, fmt="csv")
 
 
+def category_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Label means of market segments, of earlier rows for two thirds of the customers
+    and of all those for the rest."""
+    rows = seeded_scores(spark, folder).select("customer_id", "label").join(segments(spark, folder), "customer_id")
+    train, test = rows.filter("customer_id % 3 <> 0"), rows.filter("customer_id % 3 = 0")
+    encoded = prep.encode_categories(train, test, ["segment"])
+    return encoded[0].unionByName(encoded[1])
+
+
 def roc_points(spark: SparkSession, folder: str) -> DataFrame:
     """The whole curve; the infinite threshold of its first point is given as null."""
     curve = evaluate.roc_curve(seeded_scores(spark, folder))
@@ -354,6 +363,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_features": incremental_features,
         "bucketed_assembly": rounding(bucketed_assembly),
         # preparation
+        "optional_features": rounding(lambda s, d: features.feature_table(
+            log(s, d), MONTH, THRESHOLD, blocks=("habits", *features.OPTIONAL)
+        )),
+        "category_targets": rounding(category_targets),
         "categorical_index": lambda s, d: prep.categorical_index(segments(s, d), "segment"),
         "impute_zero": prepared(lambda a, b, n: prep.impute(a, b, n, "zero")),
         "impute_mean": prepared(lambda a, b, n: prep.impute(a, b, n, "mean")),
@@ -387,8 +400,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mlp_scores": mlp_scores,
         "blend_files": blend_files,
         "search_trials": search_trials,
+        "tuned_model": tuned_model,
         "model_leaderboard": model_leaderboard,
         "permutation_importance": permutation_importance,
+        "selected_scores": selected_scores,
         **LLM_QUERIES,
     }
 
@@ -427,8 +442,16 @@ def blend_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def search_trials(spark: SparkSession, folder: str) -> DataFrame:
     data = model_data(spark, folder, ("habits",))
-    build = lambda **params: models.boosted_trees(rounds=3, depth=2, **params)
-    return evaluate.top_trials(models.search_trials(data.train, build, trials=2, folds=FOLDS))
+    build = lambda **params: models.boosted_trees(depth=2, **params)
+    return evaluate.top_trials(models.search_trials(data.train, build, trials=4, folds=FOLDS, rungs=(2, 4)))
+
+
+def tuned_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out scores of the model that the search ends with."""
+    data = model_data(spark, folder, ("habits",))
+    build = lambda **params: models.boosted_trees(depth=2, **params)
+    best = models.tune(data.train, build, trials=4, folds=FOLDS, rungs=(2, 4))
+    return models.out_of_fold(data.train, best, folds=FOLDS, early_stop=False).train
 
 
 def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
@@ -437,9 +460,18 @@ def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
-    data = model_data(spark, folder, ("habits",))
-    model = models.boosted_trees(rounds=ROUNDS, depth=DEPTH).fit(data.train)
-    return models.permutation_importance(data.raw_train, data.features, model)
+    """On a held-out fold, for a model fitted on the others."""
+    data = model_data(spark, folder, ("seasons", "habits"))
+    held = data.train.filter("fold = 0").select("customer_id")
+    model = models.boosted_trees(rounds=ROUNDS, depth=DEPTH).fit(data.train.filter("fold <> 0"))
+    return models.permutation_importance(data.raw_train.join(held, "customer_id", "left_semi"), data.features, model)
+
+
+def selected_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out scores after training again on the features that matter."""
+    table = features.feature_table(star_log(spark, folder), MONTH, THRESHOLD, blocks=("seasons", "habits"))
+    data = training.model_input(table, folds=FOLDS)
+    return models.select_and_retrain(data.raw_train, data.features, models.boosted_trees(rounds=ROUNDS, depth=DEPTH), folds=FOLDS)[1].train
 
 
 def oracle_sql() -> dict[str, str]:

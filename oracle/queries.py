@@ -270,3 +270,19 @@ f AS (SELECT customer_id, total, label, ((row_number() OVER (PARTITION BY label
 SELECT t.* EXCLUDE (split, label), {rounded('f.total')} AS total, f.label, f.fold, {rounded('((c_custkey * 7919) % 1000 / 1000.0::DOUBLE)')} AS probability
 FROM t LEFT JOIN f USING (customer_id) LEFT JOIN customer ON c_custkey = t.customer_id WHERE t.split = 'train'""",
 }
+
+# Optional blocks and label means of categories.
+ORACLES |= {
+    "optional_features": f"""WITH {LOG}, {TOTALS}, {LABELS}, {HABITS}, r AS (SELECT f.split, customer_id, max(year_month) AS m FROM log
+  JOIN (VALUES ('train', '{PREVIOUS}'), ('test', '{MONTH}')) f(split, cut) ON year_month < f.cut GROUP BY ALL),
+b AS (SELECT *, total_sum_per_count_using_shopping AS a FROM habits)
+SELECT customer_id, split, l.year_month, label, {', '.join(f'coalesce({rounded(c)}, 0) AS {c}' for c in HABIT_COLUMNS)},
+  {BAND_SQL} AS total_sum_per_count_using_shopping_cat, (24 - datediff('month', (m || '-01')::DATE, DATE '{PREVIOUS}-01') % 12)::INT AS last_month_shopping
+FROM labels_ l LEFT JOIN b USING (customer_id, split) LEFT JOIN r USING (customer_id, split)""",
+    "category_targets": f"""WITH {SCORES}, rows AS (SELECT customer_id, label, c_mktsegment AS segment FROM scores JOIN customer ON c_custkey = customer_id),
+placed AS (SELECT *, row_number() OVER o - 1 AS n, sum(label) OVER o - label AS s FROM rows WHERE customer_id % 3 <> 0
+  WINDOW o AS (PARTITION BY segment ORDER BY md5(customer_id::VARCHAR || '-42'), customer_id)),
+means AS (SELECT segment, (sum(label) + 0.5) / (count(*) + 1) AS t FROM rows WHERE customer_id % 3 <> 0 GROUP BY 1)
+SELECT customer_id, label, {rounded('((s + 0.5) / (n + 1))')} AS segment_target FROM placed
+UNION ALL SELECT customer_id, label, {rounded('coalesce(t, 0.5)')} FROM rows LEFT JOIN means USING (segment) WHERE customer_id % 3 = 0""",
+}

@@ -23,8 +23,8 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendcast.operators.evaluate import auc, seeded_hash, stratified_folds
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
@@ -89,13 +89,12 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return packer.transform(numbered).select(*keep, "features")
 
 
-def score(model: Model, df: DataFrame) -> DataFrame:
+def score(model: Model, df: DataFrame, keep: Sequence[str] = ("customer_id", "label", "fold")) -> DataFrame:
     """``customer_id[, label, fold], score``: the positive class's probability,
     or its margin for models without probabilities."""
-    keep = [c for c in ("customer_id", "label", "fold") if c in df.columns]
     column = "probability" if model.hasParam("probabilityCol") else "rawPrediction"
     scored = model.transform(df)
-    return scored.select(*keep, vector_to_array(column)[1].alias("score"))
+    return scored.select(*(c for c in keep if c in df.columns), vector_to_array(column)[1].alias("score"))
 
 
 @dataclass(frozen=True)
@@ -144,8 +143,9 @@ class Staged:
     scores: Sequence[float]
 
 
-def fit_staged(estimator: GBTClassifier, train: DataFrame, held: DataFrame, patience: int = 100, stage: int | None = None) -> Staged:
-    """Boost in growing stages until ``patience`` rounds bring no better AUC on ``held``.
+def fit_staged(estimator: GBTClassifier, train: DataFrame, held: DataFrame, patience: int = 100, stage: int | None = None, metric: str = "auc") -> Staged:
+    """Boost in growing stages until ``patience`` rounds bring no better AUC on ``held``,
+    or no lower loss with the metric ``log_loss`` (scores are then losses turned negative).
 
     A stage has twice the rounds of the one before, so all stages together fit less
     than twice the rounds of the last, however many rounds ``maxIter`` would allow. The
@@ -156,8 +156,11 @@ def fit_staged(estimator: GBTClassifier, train: DataFrame, held: DataFrame, pati
     while True:
         rounds = min(rounds, most)
         model = estimator.copy({estimator.maxIter: rounds}).fit(train)
-        found, margins = round_scores(model, margins, len(scores))
-        scores += found
+        if metric == "auc":
+            found, margins = round_scores(model, margins, len(scores))
+            scores += found
+        else:
+            scores = [-x for x in model.evaluateEachIteration(held)]
         best = best_round([-x for x in scores], patience)
         if rounds - best >= patience or rounds >= most:
             return Staged(first_trees(model, best), rounds, scores)
@@ -194,21 +197,24 @@ def out_of_fold(
     folds: int = 10,
     early_stop: bool = True,
     patience: int = 100,
+    metric: str = "auc",
     parallelism: int = 4,
 ) -> OutOfFold:
     """Train one model per fold on the other folds and score what it has not seen.
 
     ``train`` has ``customer_id, label, fold, features``. Tree boosting ends where the
     AUC of the held-out fold has not risen for ``patience`` rounds, and keeps its best
-    round, unless ``early_stop`` is off.
+    round, unless ``early_stop`` is off. The metric may be ``log_loss`` instead.
     """
+    if metric not in ("auc", "log_loss"):
+        raise ValueError("metric must be 'auc' or 'log_loss'")
 
     def fit(fold: int) -> Model:
         others = train.filter(F.col("fold") != fold)
         held = train.filter(F.col("fold") == fold)
         if not early_stop or not isinstance(estimator, GBTClassifier) or held.isEmpty():
             return estimator.fit(others)
-        return fit_staged(estimator, others, held, patience).model
+        return fit_staged(estimator, others, held, patience, metric=metric).model
 
     with ThreadPoolExecutor(parallelism) as pool:
         models = list(pool.map(fit, range(folds)))
@@ -251,6 +257,18 @@ def mean_auc(scores: DataFrame) -> float:
     return auc(scores, ["fold"]).agg(F.avg("auc")).first()[0]
 
 
+def trial_parameters(
+    spark: SparkSession, trials: int = 100, seed: int = 42, ranges: Mapping[str, tuple[float, float]] = SEARCH
+) -> DataFrame:
+    """Parameters of each trial, uniform in their ranges, from a hash of seed, trial and
+    name: any trial can be drawn anywhere, and more trials leave the first as they are."""
+    names = [
+        f"{low!r}D + {high - low!r}D * (conv(substring(md5(concat('{seed}-', id, '-{name}')), 1, 8), 16, 10) / {float(1 << 32)!r}D) AS {name}"
+        for name, (low, high) in ranges.items()
+    ]
+    return spark.range(trials).selectExpr("int(id) AS trial", *names)
+
+
 def search_trials(
     train: DataFrame,
     build: Callable[..., Estimator],
@@ -259,23 +277,33 @@ def search_trials(
     folds: int = 10,
     seed: int = 42,
     ranges: Mapping[str, tuple[float, float]] = SEARCH,
+    rungs: Sequence[int] = (),
     parallelism: int = 4,
 ) -> DataFrame:
-    """Random search: one row per trial with its parameters and mean fold AUC."""
-    draw = random.Random(seed)
-    rows = []
-    for trial in range(trials):
-        params = {name: draw.uniform(*limits) for name, limits in ranges.items()}
-        result = out_of_fold(train, build(**params), folds=folds, parallelism=parallelism)
-        rows.append((trial, *params.values(), mean_auc(result.train)))
-    schema = "trial int, " + ", ".join(f"{n} double" for n in ranges) + ", value double"
+    """Random search: one row per trial with its parameters and mean fold AUC.
+
+    With ``rungs``, ascending numbers of rounds passed on as ``rounds``, all trials run
+    the first of them and the better half goes on to the next. A row then has the rounds
+    and the value of the last rung its trial ran; all share the one fold table."""
+    drawn = {r["trial"]: r.asDict() for r in trial_parameters(train.sparkSession, trials, seed, ranges).collect()}
+    done: dict[int, tuple[int | None, float]] = {}
+    alive = sorted(drawn)
+    for rung in rungs or (None,):
+        for trial in alive:
+            given = {n: drawn[trial][n] for n in ranges} | ({} if rung is None else {"rounds": rung})
+            result = out_of_fold(train, build(**given), folds=folds, early_stop=rung is None, parallelism=parallelism)
+            done[trial] = rung, mean_auc(result.train)
+        alive = sorted(alive, key=lambda t: (-done[t][1], t))[: -(-len(alive) // 2)]
+    rows = [(t, *(p[n] for n in ranges), *done[t]) for t, p in drawn.items()]
+    schema = "trial int, " + ", ".join(f"{n} double" for n in ranges) + ", rounds int, value double"
     return train.sparkSession.createDataFrame(rows, schema)
 
 
 def tune(train: DataFrame, build: Callable[..., Estimator], **options) -> Estimator:
-    """The estimator with the best parameters a search finds."""
-    best = search_trials(train, build, **options).orderBy(F.desc("value"), "trial").first().asDict()
-    return build(**{k: v for k, v in best.items() if k not in ("trial", "value")})
+    """The estimator with the best parameters a search finds, those of the last rung."""
+    found = search_trials(train, build, **options)
+    best = found.orderBy(F.desc("rounds"), F.desc("value"), "trial").first().asDict()
+    return build(**{k: v for k, v in best.items() if k not in ("trial", "value") and v is not None})
 
 
 def leaderboard(
@@ -299,32 +327,48 @@ def permutation_importance(
     batch: int = 16,
     limits: ScanLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """AUC lost when a feature's values are dealt to other rows.
-
-    Rows get one seeded random order; each feature is then shifted along it by
-    its own random distance, so a shuffle is an equi-join on the position.
-    """
-    placed = cut_lineage(
-        scan(
-            df.withColumn("__hash", seeded_hash("customer_id", seed)), [], ["__hash", "customer_id"],
-            position="__rn", limits=limits,
-        ).drop("__hash")
-    )
+    """AUC lost when a feature's values are dealt to other rows; ``df`` should be rows
+    the model has not seen.
+
+    Rows get one seeded random order. Each batch of features is shifted along it by one
+    random distance: a donor table ``(position, values)`` joins once, and every row then
+    takes its donor's value of one feature at a time, so that a batch is one join and one
+    scoring pass."""
+    kept = [c for c in ("customer_id", "label") if c in df.columns]
+    values = f"array({', '.join(f'double(`{c}`)' for c in features)}) AS x"
+    hashed = df.selectExpr(*kept, values).withColumn("__hash", seeded_hash("customer_id", seed))
+    placed = cut_lineage(scan(hashed, [], ["__hash", "customer_id"], position="__rn", limits=limits).drop("__hash"))
     n = placed.count()
-    base = auc(score(model, assemble(placed, features)), limits=limits).first()["auc"]
     draw = random.Random(seed)
     found = []
     for start in range(0, len(features), batch):
-        shuffled = []
-        for name in features[start : start + batch]:
-            shift = draw.randrange(1, n) if n > 1 else 0
-            donor = placed.selectExpr(f"(__rn + {shift} - 1) % {n} + 1 AS __rn", f"`{name}` AS __new")
-            swapped = placed.join(donor, "__rn").withColumn(name, F.col("__new")).drop("__new")
-            scores = score(model, assemble(swapped, features))
-            shuffled.append(scores.select(F.lit(name).alias("feature"), "label", "score"))
-        found.append(auc(reduce(DataFrame.unionByName, shuffled), ["feature"], limits))
-    lost = reduce(DataFrame.unionByName, found)
-    return lost.select("feature", (F.lit(base) - F.col("auc")).alias("auc_drop"))
+        last = min(start + batch, len(features))
+        shift = draw.randrange(1, n) if n > 1 else 0
+        donor = placed.selectExpr(f"(__rn + {shift} - 1) % {n} + 1 AS __rn", f"slice(x, {start + 1}, {last - start}) AS given")
+        # Variant -1 of the first batch is the table as it is.
+        variants = f"explode(sequence({-1 if start == 0 else start}, {last - 1})) AS f"
+        spliced = placed.join(donor, "__rn").selectExpr("label", "x", "given", variants).filter(f"f = -1 OR f >= {start}").selectExpr(
+            "label", "f", f"transform(x, (v, i) -> if(i = f, given[f - {start}], v)) AS x"
+        )
+        scores = score(model, spliced.select("label", "f", array_to_vector("x").alias("features")), ("label", "f"))
+        found.append(auc(scores, ["f"], limits))
+    base = found[0].filter("f = -1").first()["auc"]
+    named = f"array({', '.join(repr(c) for c in features)})[f] AS feature"
+    lost = reduce(DataFrame.unionByName, found).filter("f >= 0")
+    return lost.selectExpr(named, f"{base!r}D - auc AS auc_drop" if base is not None else "cast(null AS double) AS auc_drop")
+
+
+def select_and_retrain(
+    df: DataFrame, features: Sequence[str], estimator: Estimator, *, folds: int = 10, seed: int = 42, limits: ScanLimits = DEFAULT_LIMITS
+) -> tuple[list[str], OutOfFold]:
+    """Fit on all folds but the first, drop the features whose shuffling costs that fold
+    no AUC, and train out of fold on the rest. All are kept if none matters."""
+    dealt = cut_lineage(stratified_folds(df, folds, seed, limits=limits))
+    model = estimator.fit(assemble(dealt.filter("fold <> 0"), features))
+    drops = permutation_importance(dealt.filter("fold = 0"), features, model, seed=seed, limits=limits)
+    kept = select_features(drops) or list(features)
+    train = cut_lineage(assemble(dealt, kept))
+    return kept, out_of_fold(train, estimator, names=kept, folds=folds)
 
 
 def select_features(importances: DataFrame) -> list[str]:

@@ -12,7 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from spendcast.operators.quantiles import exact_quantiles, quantile_knots
+from spendcast.operators.evaluate import seeded_hash
+from spendcast.operators.quantiles import exact_quantiles, long_rows, quantile_knots
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
 
 KNOTS = 1000
@@ -32,21 +33,54 @@ def categorical_index(
     return df.join(codes, column, "left")
 
 
+def ordered_target(
+    df: DataFrame, columns: Sequence[str], *, label: str = "label", key: str = "customer_id", seed: int = 42,
+    prior: float = 0.5, weight: float = 1.0, limits: ScanLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Add ``{column}_target``: the mean label of the category's rows that come earlier
+    in a seeded random order, with ``weight`` rows of ``prior`` added.
+
+    No row sees its own label, so the mean can be a feature of the rows it is made
+    from. Nulls are a category. A category of any size is split by the scan."""
+    done = df.withColumn("__hash", seeded_hash(key, seed))
+    for c in columns:
+        placed = scan(done, [c], ["__hash", key], position="__rn", sums={"__sum": label}, limits=limits)
+        earlier = f"(__sum - `{label}` + {prior * weight!r}D) / (__rn - 1 + {weight!r}D)"
+        done = placed.withColumn(f"{c}_target", F.expr(earlier)).drop("__rn", "__sum")
+    return done.drop("__hash")
+
+
+def target_means(
+    train: DataFrame, df: DataFrame, columns: Sequence[str], *, label: str = "label", prior: float = 0.5, weight: float = 1.0
+) -> DataFrame:
+    """Add ``{column}_target`` to other rows: the mean label of all train rows of the
+    category, the prior for one that train has not."""
+    for c in columns:
+        means = train.groupBy(F.col(c).alias("__category")).agg(
+            F.expr(f"(sum(`{label}`) + {prior * weight!r}D) / (count(1) + {weight!r}D)").alias(f"{c}_target")
+        )
+        df = df.join(means, F.col(c).eqNullSafe(F.col("__category")), "left").drop("__category").fillna(prior, [f"{c}_target"])
+    return df
+
+
+def encode_categories(train: DataFrame, test: DataFrame, columns: Sequence[str], **options) -> tuple[DataFrame, DataFrame]:
+    """String features of both tables as label means, in place of the strings: ordered
+    ones for train, those of the whole train table for test."""
+    limits = options.pop("limits", DEFAULT_LIMITS)
+    keyed = {k: v for k, v in options.items() if k not in ("key", "seed")}
+    encoded = ordered_target(train, columns, limits=limits, **options), target_means(train, test, columns, **keyed)
+    return tuple(df.drop(*columns) for df in encoded)
+
+
 def _map_features(df: DataFrame, formulas: dict[str, str]) -> DataFrame:
     return df.selectExpr(*(f"{formulas[c]} AS `{c}`" if c in formulas else f"`{c}`" for c in df.columns))
 
 
 def _fit(df: DataFrame, features: Sequence[str], *aggregates: str) -> dict[str, tuple]:
-    """Values of SQL aggregates (of ``x``) per feature."""
-    exprs = [
-        F.expr(a.replace("{x}", f"`{c}`")).alias(f"{i}_{k}")
-        for i, c in enumerate(features)
-        for k, a in enumerate(aggregates)
-    ]
-    row = df.agg(*exprs).first()
-    return {
-        c: tuple(row[f"{i}_{k}"] for k in range(len(aggregates))) for i, c in enumerate(features)
-    }
+    """Values of SQL aggregates (of ``value``) per feature."""
+    rows = long_rows(df, features).groupBy("place").agg(*(F.expr(a).alias(f"a{k}") for k, a in enumerate(aggregates)))
+    found = {features[r["place"]]: tuple(r[f"a{k}"] for k in range(len(aggregates))) for r in rows.collect()}
+    return {c: found.get(c, (None,) * len(aggregates)) for c in features}
 
 
 def _quantiles(df, features, probabilities, limits) -> dict[str, dict[str, float]]:
@@ -69,7 +103,7 @@ def impute(
     if strategy == "zero":
         fills = {c: 0.0 for c in features}
     elif strategy == "mean":
-        fills = {c: v[0] for c, v in _fit(train, features, "avg({x})").items()}
+        fills = {c: v[0] for c, v in _fit(train, features, "avg(value)").items()}
     elif strategy == "median":
         fills = {c: q["m"] for c, q in _quantiles(train, features, {"m": 0.5}, limits).items()}
     else:
@@ -79,7 +113,7 @@ def impute(
 
 
 def _min_max(df, features, limits):
-    fitted = _fit(df, features, "min({x})", "max({x})")
+    fitted = _fit(df, features, "min(value)", "max(value)")
     return {
         c: f"(`{c}` - {_number(lo)}) / {_number(hi - lo if hi != lo else 1.0)} * 2 - 1"
         for c, (lo, hi) in fitted.items()
@@ -88,7 +122,7 @@ def _min_max(df, features, limits):
 
 
 def _standard(df, features, limits):
-    fitted = _fit(df, features, "avg({x})", "stddev_pop({x})")
+    fitted = _fit(df, features, "avg(value)", "stddev_pop(value)")
     return {
         c: f"(`{c}` - {_number(m)}) / {_number(s or 1.0)}"
         for c, (m, s) in fitted.items()

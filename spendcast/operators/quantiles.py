@@ -1,7 +1,12 @@
-"""Exact quantiles without gathering a column in one place."""
+"""Exact quantiles without gathering a column in one place.
+
+Columns are read as long rows ``(place, value)`` and numbers per column are looked up
+in constant arrays, so the code of a job does not grow with the number of columns.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -33,6 +38,17 @@ def value_ranks(
 SKETCH_ACCURACY = 10_000
 
 
+def long_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``place, value`` of every non-null value, ``place`` counting the columns from 0."""
+    values = ", ".join(f"double(`{c}`)" for c in columns)
+    return df.selectExpr(f"posexplode(array({values})) AS (place, value)").filter("value IS NOT NULL")
+
+
+def constants(values: Sequence[float]) -> str:
+    """An array of doubles as one literal."""
+    return "cast(split('{}', ',') AS array<double>)".format(",".join(repr(float(v)) for v in values))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -41,47 +57,41 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per column.
 
-    Narrow passes that don't shuffle the rows: sketches bracket each quantile,
-    values below each bracket are counted, and only values inside one are told
-    apart. Should a bracket miss, its column is ranked in full.
+    Two narrow passes that don't shuffle the rows: sketches bracket each quantile; then
+    values below each bracket are counted, and only values inside one are told apart.
+    Should a bracket miss, its column is ranked in full.
     """
     names = list(probabilities)
     brackets = _brackets(df, columns, probabilities)
-    spots = [(i, k, c, *brackets[c][1][k]) for i, c in enumerate(columns) if brackets[c][0] for k in range(len(names))]
+    k = len(names)
+    nothing = [(math.inf, -math.inf)] * k
+    low, high = (constants([(brackets[c][1] or nothing)[q][side] for c in columns for q in range(k)]) for side in (0, 1))
     found: dict[tuple[int, int], float] = {}
-    if spots:
-        inside = ", ".join(
-            f"if(`{c}` BETWEEN {_bound(lo)} AND {_bound(hi)}, struct({i} AS column, {k} AS quantile, double(`{c}`) AS value), null)"
-            for i, k, c, lo, hi in spots
+    if any(n for n, _ in brackets.values()):
+        spots = f"transform(sequence(0, {k - 1}), q -> struct(q AS quantile, {low}[place * {k} + q] AS low, {high}[place * {k} + q] AS high))"
+        # Below a bracket a value only counts, inside it is kept apart.
+        seen = long_rows(df, columns).selectExpr("place", "value", f"explode({spots}) AS s").filter("value <= s.high").selectExpr(
+            "place", "s.quantile AS quantile", "if(value >= s.low, value, null) AS value"
         )
-        row = df.agg(*(F.expr(f"count_if(`{c}` < {_bound(lo)})").alias(f"b{i}_{k}") for i, k, c, lo, _ in spots)).first()
-        counts = (
-            df.selectExpr(f"inline(array_compact(array({inside})))")
-            .groupBy("column", "quantile", "value")
-            .count()
+        counts = seen.groupBy("place", "quantile", "value").count()
+        ranks = scan(counts, ["place", "quantile"], ["value"], sums={"upto": "count"}, limits=limits)
+        sizes = constants([brackets[c][0] for c in columns])
+        levels = constants([probabilities[n] for n in names])
+        # Nulls, the values below, come first in the order.
+        ends = ranks.selectExpr("*", f"({sizes}[place] - 1) * {levels}[quantile] AS rank").groupBy("place", "quantile").agg(
+            F.expr("coalesce(max(if(value IS NULL, upto, null)), 0) <= floor(max(rank)) AS hit"),
+            F.expr("min(if(value IS NOT NULL AND upto > floor(rank), value, null)) AS lo"),
+            F.expr("min(if(value IS NOT NULL AND upto > ceil(rank), value, null)) AS hi"),
+            F.expr("max(rank) - floor(max(rank)) AS part"),
         )
-        ranks = scan(counts, ["column", "quantile"], ["value"], sums={"upto": "count"}, limits=limits)
-        lower = {(i, k): row[f"b{i}_{k}"] for i, k, *_ in spots}
-        below = "array({})".format(
-            ", ".join(f"{lower.get((i, k), 0)}L" for i in range(len(columns)) for k in range(len(names)))
-        )
-        sizes = "array({})".format(", ".join(f"{brackets[c][0]}L" for c in columns))
-        levels = "array({})".format(", ".join(f"{probabilities[n]!r}D" for n in names))
-        at = f"(({sizes}[column] - 1) * {levels}[quantile] - {below}[column * {len(names)} + quantile])"
-        ends = ranks.selectExpr("*", f"{at} AS place").groupBy("column", "quantile").agg(
-            F.expr("max(place) >= 0").alias("hit"),
-            F.expr("min(if(upto > floor(place), value, null))").alias("lo"),
-            F.expr("min(if(upto > ceil(place), value, null))").alias("hi"),
-            F.expr("max(place) - floor(max(place))").alias("part"),
-        )
-        for r in ends.collect():
+        for r in ends.collect():  # one row per column and quantile
             if r["hit"] and r["lo"] is not None and r["hi"] is not None:
-                found[r["column"], r["quantile"]] = r["lo"] + (r["hi"] - r["lo"]) * r["part"]
+                found[r["place"], r["quantile"]] = r["lo"] + (r["hi"] - r["lo"]) * r["part"]
     missed = [
         c for i, c in enumerate(columns)
-        if brackets[c][0] and any((i, k) not in found for k in range(len(names)))
+        if brackets[c][0] and any((i, q) not in found for q in range(k))
     ]
-    values = {c: [found.get((i, k)) for k in range(len(names))] for i, c in enumerate(columns)}
+    values = {c: [found.get((i, q)) for q in range(k)] for i, c in enumerate(columns)}
     if missed:
         for r in ranked_quantiles(df, missed, probabilities, limits).collect():
             values[r["column"]] = [r[n] for n in names]
@@ -89,28 +99,22 @@ def exact_quantiles(
     return df.sparkSession.createDataFrame([(c, *values[c]) for c in columns], schema)
 
 
-def _bound(value: float) -> str:
-    return f"double('{value!r}')"
-
-
 def _brackets(
     df: DataFrame, columns: Sequence[str], probabilities: dict[str, float]
 ) -> dict[str, tuple[int, list[tuple[float, float]]]]:
-    """Row count per column and a value range sure to hold each quantile."""
-    sizes = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns))).first()
-
-    def sketch(i: int, c: str) -> str:
-        # A rank's two neighbours lie inside, however few rows there are.
-        slack = max(2 / SKETCH_ACCURACY, 2 / max(sizes[i], 1))
-        edges = [min(max(p + d, 0.0), 1.0) for p in probabilities.values() for d in (-slack, slack)]
-        levels = ", ".join(f"{e!r}D" for e in edges)
-        return f"percentile_approx(double(`{c}`), array({levels}), {SKETCH_ACCURACY})"
-
-    row = df.agg(*(F.expr(sketch(i, c)).alias(f"e{i}") for i, c in enumerate(columns))).first()
-    found = {}
-    for i, c in enumerate(columns):
-        n, e = sizes[i], row[f"e{i}"]
-        found[c] = n, [] if e is None else [(e[2 * k], e[2 * k + 1]) for k in range(len(probabilities))]
+    """Row count per column and a value range sure to hold each quantile: from a sketch,
+    or all values of a column that is smaller than a sketch."""
+    slack = 2 / SKETCH_ACCURACY
+    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities.values() for d in (-slack, slack)]
+    sketch = f"percentile_approx(value, array({', '.join(f'{e!r}D' for e in edges)}), {SKETCH_ACCURACY}) AS e"
+    rows = long_rows(df, columns).groupBy("place").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.expr(sketch)
+    )
+    found = {c: (0, []) for c in columns}
+    for r in rows.collect():  # one row per column
+        e, small = r["e"], r["n"] < SKETCH_ACCURACY
+        ranges = [(r["low"], r["high"]) if small else (e[2 * q], e[2 * q + 1]) for q in range(len(probabilities))]
+        found[columns[r["place"]]] = r["n"], ranges
     return found
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, functions as F
 
-from spendcast.functions.months import cutoffs, shift_month
+from spendcast.functions.bands import spend_band
+from spendcast.functions.months import cutoffs, month_number, shift_month
 from spendcast.operators import blocks as B
 from spendcast.operators.labels import THRESHOLD, customer_months, customer_summary
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits
 
 BLOCKS = ("windows", "seasons", "running", "differences", "habits")
+# Built on demand: the band of the spend per active month (a string), and the recency score.
+OPTIONAL = ("bands", "recency")
 
 
 def block_frames(month: str, blocks: Sequence[str]) -> list[B.Frame]:
@@ -77,7 +81,19 @@ def feature_table(
         joined, found = joined.join(range_map(log, month, ranges, limits), "customer_id", "left"), B.feature_columns(ranges, RANGE_ENTRY)
         # In the order of the blocks: ranges before whole histories.
         columns = (B.keep_seasons(found, keep) if "seasons" in blocks else found) | columns
-    return labelled(joined, month, chosen, columns)
+    more = {}
+    if "bands" in blocks:
+        joined = joined.withColumns({f"{s}_band": spend_band(F.col(f"{s}_total_sum_per_count_using_shopping")) for s in B.SPLITS})
+        more["total_sum_per_count_using_shopping_cat"] = "if(split = 'train', train_band, test_band)"
+    if "recency" in blocks:
+        more["last_month_shopping"] = recency_of("if(split = 'train', train_last, test_last)", month)
+    return labelled(joined, month, chosen, columns, more)
+
+
+def recency_of(seconds: str, month: str) -> str:
+    """SQL of the recency score (see ``labels.recency_score``) from the time of the last order."""
+    day = f"date_add(date'1970-01-01', int(floor({seconds} / 86400)))"
+    return f"24 - ({month_number(shift_month(month, -1))} - (year({day}) * 12 + month({day}) - 1)) % 12"
 
 
 KINDS = 1000  # more than any kind of a series
@@ -95,9 +111,12 @@ def packed_ranges(stats: DataFrame) -> DataFrame:
     return stats.selectExpr("customer_id", f"{kind} AS kind", *B.STATS).groupBy("customer_id").agg(F.expr(f"{B.STATS_MAP} AS ranges"))
 
 
-def labelled(joined: DataFrame, month: str, chosen: dict[str, str], columns: dict[str, str]) -> DataFrame:
+def labelled(
+    joined: DataFrame, month: str, chosen: dict[str, str], columns: dict[str, str], more: Mapping[str, str] = MappingProxyType({})
+) -> DataFrame:
     """Keys, label and features of rows ``(customer_id, split, ...)``; what a customer lacks is 0.
-    ``chosen`` names the ``train_``/``test_`` columns, ``columns`` has the SQL of the rest."""
+    ``chosen`` names the ``train_``/``test_`` columns, ``columns`` has the SQL of the rest,
+    ``more`` that of features every customer has."""
     cut = cutoffs(month)
     return joined.selectExpr(
         "customer_id",
@@ -108,4 +127,5 @@ def labelled(joined: DataFrame, month: str, chosen: dict[str, str], columns: dic
             for out, n in chosen.items()
         ),
         *(f"coalesce({e}, 0D) AS `{name}`" for name, e in columns.items()),
+        *(f"{e} AS `{name}`" for name, e in more.items()),
     )
