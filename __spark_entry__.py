@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -404,6 +405,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_leaderboard": model_leaderboard,
         "permutation_importance": permutation_importance,
         "selected_scores": selected_scores,
+        "model_diagnostics": model_diagnostics,
         **LLM_QUERIES,
     }
 
@@ -426,6 +428,14 @@ def gbt_run(spark: SparkSession, folder: str):
     )
 
 
+def model_diagnostics(spark: SparkSession, folder: str) -> DataFrame:
+    """All diagnostic tables of one model, a row each as JSON."""
+    found = models.diagnostics(gbt_run(spark, folder)[0])
+    return reduce(DataFrame.unionByName, (
+        df.select(F.lit(name).alias("table"), F.to_json(F.struct(*df.columns)).alias("row")) for name, df in found.items()
+    ))
+
+
 def mlp_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = model_data(spark, folder, ("habits",), "quantile")
     network = models.perceptron(len(data.features), hidden=8, rounds=20)

@@ -26,7 +26,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.operators.evaluate import auc, seeded_hash, stratified_folds
+from spendcast.operators.evaluate import (
+    auc, confusion, importance_mean, roc_curve, score_metrics, seeded_hash, stratified_folds,
+)
 from spendcast.operators.scan import DEFAULT_LIMITS, ScanLimits, scan
 from spendcast.session import cut_lineage
 
@@ -244,6 +246,22 @@ def out_of_fold(
     return OutOfFold(reduce(DataFrame.unionByName, held_out), test_scores, importances, models)
 
 
+def diagnostics(result: OutOfFold, threshold: float = 0.5) -> dict[str, DataFrame]:
+    """All tables that show how one model does: ``roc``, ``confusion``, ``fold_metrics``,
+    ``auc`` (pooled and per fold) and ``importance``, if the model has any.
+
+    The held-out scores are computed once and stored; every table reads those."""
+    scored = cut_lineage(result.train.select("fold", "label", "score"))
+    pooled = auc(scored).select(F.lit(None).cast("int").alias("fold"), "auc")
+    tables = {
+        "roc": roc_curve(scored),
+        "confusion": confusion(scored, threshold),
+        "fold_metrics": score_metrics(scored, threshold, ["fold"]),
+        "auc": auc(scored, ["fold"]).unionByName(pooled),
+    }
+    return tables | ({} if result.importances is None else {"importance": importance_mean(result.importances)})
+
+
 def fold_table(
     df: DataFrame, features: Sequence[str], folds: int = 10, seed: int = 42,
     limits: ScanLimits = DEFAULT_LIMITS,

@@ -148,3 +148,17 @@ def test_string_features_reach_a_learner(spark):
     data = training.model_input(table, folds=2)
     assert "total_sum_per_count_using_shopping_cat_target" in data.features and "last_month_shopping" in data.features
     assert data.train.first().features.size == len(data.features) == 6
+
+
+def test_diagnostics_equal_the_single_operators(spark):
+    result = models.out_of_fold(noisy(spark, 300), models.boosted_trees(rounds=2, depth=2), folds=3, names=["x", "y"])
+    found = {name: df.toPandas() for name, df in models.diagnostics(result).items()}
+    assert set(found) == {"roc", "confusion", "fold_metrics", "auc", "importance"}
+    scored = result.train.cache()
+    same = lambda a, b, keys: a.sort_values(keys).reset_index(drop=True).equals(b.sort_values(keys).reset_index(drop=True))
+    assert same(found["roc"], evaluate.roc_curve(scored).toPandas(), ["fpr", "tpr"])
+    assert same(found["confusion"], evaluate.confusion(scored).toPandas(), ["tn"])
+    assert same(found["fold_metrics"], evaluate.score_metrics(scored, by=["fold"]).toPandas(), ["fold"])
+    pooled = found["auc"][found["auc"].fold.isna()].auc.iloc[0]
+    assert pooled == evaluate.auc(scored).first()["auc"] and len(found["auc"]) == 4
+    assert found["importance"].importance.sum() == pytest.approx(1)
