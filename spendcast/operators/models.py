@@ -38,6 +38,8 @@ BOOSTING = {
     "leafwise": (0.06163827164757535, 0.8, 0.8, 5),
     "levelwise": (0.06806593719106756, 0.9527699531356614, 0.6666816689708133, 5),
 }
+# Fixed value: the most rounds of boosting; ``out_of_fold`` stops long before.
+ROUNDS = 10_000
 # Search ranges of the learning rate and the row sampling.
 SEARCH = {"learning_rate": (0.03, 0.07), "subsample": (0.5, 1.0)}
 
@@ -45,7 +47,7 @@ SEARCH = {"learning_rate": (0.03, 0.07), "subsample": (0.5, 1.0)}
 def boosted_trees(
     variant: str = "ordered",
     *,
-    rounds: int = 100,
+    rounds: int = ROUNDS,
     depth: int | None = None,
     learning_rate: float | None = None,
     subsample: float | None = None,
