@@ -12,8 +12,9 @@ is too little for a link. Nothing is capped.
 
 Edge cases: null or empty texts and texts without words have the empty set and
 are linked with nothing; with fewer words than a shingle the sequence is one
-shingle; rows without doc_id are linked only with equal sets and never lead;
-repeated rows are one class; an empty table gives an empty table.
+shingle; rows without doc_id are linked like others, but give a component its id only
+where no row has one (null then); repeated rows are one class; different texts that
+share a doc_id are told apart by a hash; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm.anchors import BitTable, bit_table
+from spendcast.llm.anchors import NO_ID, BitTable, bit_table
 from spendcast.llm.batches import mix, small_batches, windows, word_groups
 from spendcast.llm.components import components
-from spendcast.llm.substring_dedup import spot, spots_of
+from spendcast.llm.substring_dedup import _texts, spot, spots_of
 from spendcast.llm.store import Store
 
 
@@ -98,7 +99,8 @@ def band_keys(signature: np.ndarray, how: Similarity) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
-    """``doc_id, n, key, bands``; ``key`` names the set, null if it is empty."""
+    """``doc_id, mark, n, key, bands``; ``key`` names the set, null if it is empty,
+    ``mark`` the text."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,20 +120,21 @@ def sketches(docs: DataFrame, how: Similarity) -> DataFrame:
             flat = np.concatenate(bands).ravel() if bands else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * how.bands, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(counts) if counts else [], pa.int64()), pa.array(keys, pa.binary()), lists],
-                ["doc_id", "n", "key", "bands"],
+                [batch.column(0), batch.column(2), pa.array(np.concatenate(counts) if counts else [], pa.int64()), pa.array(keys, pa.binary()), lists],
+                ["doc_id", "mark", "n", "key", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, key binary, bands array<long>")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("mark"))
+    return rows.mapInArrow(run, "doc_id long, mark long, n long, key binary, bands array<long>")
 
 
-def repeated_bands(rows: DataFrame) -> DataFrame:
+def repeated_bands(classes: DataFrame) -> DataFrame:
     """``band, rep, n, key`` of the bands that more than one class has.
 
     Bands are counted alone first; a bit table of those that repeat then drops
     the others before they are shuffled with their classes."""
-    spark = rows.sparkSession
-    classes = rows.filter("rep IS NOT NULL")
+    spark = classes.sparkSession
     twice = classes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     table = spark.sparkContext.broadcast(bit_table(twice.select("band")))
 
@@ -148,16 +151,16 @@ def repeated_bands(rows: DataFrame) -> DataFrame:
     return found.join(found.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "band")
 
 
-def full_sets(docs: DataFrame, how: Similarity, reps: DataFrame) -> DataFrame:
-    """``key, shingles`` of the documents in ``reps`` and, through errors of a bit
-    table of their ids, of a few more. No text is shuffled."""
-    table = docs.sparkSession.sparkContext.broadcast(bit_table(spots_of(reps.select(F.col("doc_id").alias("doc"), F.lit(0).alias("start")))))
+def full_sets(docs: DataFrame, how: Similarity, wanted: DataFrame) -> DataFrame:
+    """``key, shingles`` of the texts in ``wanted (doc, mark)`` and, through errors of a
+    bit table, of a few more. No text is shuffled."""
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(spots_of(wanted.withColumn("start", F.lit(0)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BitTable(table.value)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(known.has(spot(ids, np.zeros(len(ids), np.int64)))))
+            ids, marks = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            batch = batch.filter(pa.array(known.has(spot(ids, marks, np.zeros(len(ids), np.int64)))))
             keys, lists = [], []
             for shingles, sizes in shingle_sets(batch.column(1), how.words):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
@@ -167,20 +170,25 @@ def full_sets(docs: DataFrame, how: Similarity, reps: DataFrame) -> DataFrame:
                         lists.append(shingles[a:b].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "key binary, shingles array<long>").dropDuplicates(["key"])
+    return _texts(docs).mapInArrow(run, "key binary, shingles array<long>").dropDuplicates(["key"])
 
 
 def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, n_shingles, component_id, kept, mark, stays`` for every row of ``docs``.
+
+    ``mark`` hashes the text; ``stays`` holds for one (doc_id, mark) of each component,
+    the least, ids before none, and for every row with the empty set."""
     store = Store(docs.sparkSession)
     rows = store.put(sketches(docs, how), "sketches")
     some = rows.filter("key IS NOT NULL")
-    classes = store.put(some.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = store.put(some.groupBy("key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("best"), F.first("n").alias("n"), F.first("bands").alias("bands")
+    ).withColumn("rep", F.col("best.doc_id")), "classes")
     found = store.put(repeated_bands(classes), "bands")
     company = found.groupBy("key").agg(F.sum("classes").alias("company"))
     banded = store.put(found.drop("classes").join(company, "key"), "buckets")
-    sets = store.put(full_sets(docs, how, banded.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    seats = classes.join(banded.select("key").distinct(), "key").select(F.coalesce("rep", F.lit(NO_ID)).alias("doc"), F.col("best.mark").alias("mark"))
+    sets = store.put(full_sets(docs, how, seats), "sets")
 
     def fits(a: str, b: str):
         return F.least(a, b) * 100 >= F.greatest(a, b) * how.percent
@@ -200,7 +208,7 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
     # A bucket is compared with its class of the largest company over all bands, in a
     # group of copies one near their common origin; then with the same of what
     # is linked to none of its leaders yet, and so on.
-    members, leads, tested, roots = banded, None, None, None
+    members, leads, tested = banded, None, None
     for r in range(LEADERS):
         leaders = members.groupBy("band").agg(F.max(F.struct("company", "rep", "n", "key")).alias("lead"))
         pairs = banded.join(leaders, "band").filter(F.col("key") != F.col("lead.key")).filter(fits("n", "lead.n"))
@@ -211,12 +219,14 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
         own = store.put(leaders.select("band", F.col("lead.key").alias("lead")), f"leads-{r}")
         tested = now if tested is None else tested.unionByName(now)
         leads = own if leads is None else leads.unionByName(own)
-        roots = components(linked(tested)).withColumnRenamed("node", "key")
-        rooted = banded.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        led = leads.join(roots, leads["lead"] == roots["key"], "left").select("band", F.coalesce("root", "lead").alias("root"))
-        members = store.put(rooted.join(led, ["band", "root"], "left_anti"), f"left-{r}")
+        # Whatever is linked to its bucket's leader needs no other one.
+        met = members.join(own, "band").filter(F.col("key") != F.col("lead"))
+        known_links = linked(tested).select(F.col("u").alias("lead"), F.col("v").alias("key"))
+        members = store.put(met.join(known_links, ["lead", "key"], "left_anti").select(*banded.columns), f"left-{r}")
         if members.isEmpty():
             break
+    roots = components(linked(tested)).withColumnRenamed("node", "key")
+    rooted = banded.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     # Classes of one bucket that are still apart. Two of them share at most what both
     # share with a leader plus what they share beside it; only pairs for which that
     # is enough are compared, seen from the leader that one of them is most like.
@@ -228,7 +238,10 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
     odd = against.filter("inter IS NULL").select("band", "key", "n", "root").distinct()  # too far in size to link to a leader
     met = store.put(against.filter("inter IS NOT NULL").drop("band").dropDuplicates(["lead", "key"]).join(known.select("lead", "key", "own"), ["lead", "key"]), "met")
     alike = F.col("inter") / (F.col("total") - F.col("inter"))
-    best = against.filter("inter IS NOT NULL").groupBy("band", "key").agg(F.max_by("lead", F.struct(alike, "lead")).alias("lead")).select("lead", "key").distinct()
+    # Of two classes apart, one is outside the component that has most of the bucket.
+    most = inside.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
+    best = against.filter("inter IS NOT NULL").groupBy("band", "key").agg(F.max_by("lead", F.struct(alike, "lead")).alias("lead"), F.min("root").alias("root"))
+    best = best.join(most, "band").filter("root <> main").select("lead", "key").distinct()
     different = (F.col("x.root") != F.col("y.root")) & fits("x.n", "y.n")
     # Without anything shared beside the leader a partner's size is bounded by the
     # own part of the leader. One of the two is not linked to the leader, which
@@ -262,15 +275,16 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
         roots = components(linked(tested).unionByName(more)).withColumnRenamed("node", "key")
     store.drop(*(name for name in list(store.paths) if name not in ("sketches", "classes")))
     # The least document of each component of classes.
-    reps = classes.select("key", "rep").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = reps.join(least, "root").select("key", "component_id")
-    placed = some.join(named, "key").select("doc_id", "n", "component_id")
-    alone = rows.filter("key IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    reps = classes.select("key", "best").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = reps.groupBy("root").agg(F.min("best").alias("first"))
+    named = reps.join(least, "root").select("key", "first")
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    placed = some.join(named, "key").select("doc_id", "n", F.col("first.doc_id").alias("component_id"), "mark", first.alias("stays"))
+    alone = rows.filter("key IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"), "mark", F.lit(True).alias("stays"))
     return placed.unionByName(alone).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark", "stays"
     )
 
 
 def near_dup_query(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"), QUERY)
+    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"), QUERY).drop("mark", "stays")

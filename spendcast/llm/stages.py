@@ -19,13 +19,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least doc_id of each near-duplicate group; of
-    rows equal in doc_id and text one stays."""
-    found = near_dup.near_duplicates(docs, near_dup.STAGE).filter("kept")
-    kept = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
-    single = joined.filter("__rows = 1")
-    several = joined.filter("__rows > 1").dropDuplicates(["doc_id", "text"])
+    """Keep one document of each near-duplicate group, the one with the least doc_id,
+    a document without one only where none has any; of rows equal in doc_id and text
+    one stays. Rows meet their verdict by doc_id and a hash of the text."""
+    found = near_dup.near_duplicates(docs, near_dup.STAGE).filter("stays")
+    rows, id_, mark = (f"{name}_{'_'.join(docs.columns)}" for name in ("rows", "id", "mark"))  # clash with no column
+    kept = found.groupBy(F.col("doc_id").alias(id_), F.col("mark").alias(mark)).agg(F.count(F.lit(1)).alias(rows))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(F.col("text").cast("string")) == F.col(mark))
+    joined = docs.join(kept, same)
+    single = joined.filter(F.col(rows) == 1)
+    several = joined.filter(F.col(rows) > 1).dropDuplicates(["doc_id", "text"])
     return single.unionByName(several).select(*docs.columns)
 
 

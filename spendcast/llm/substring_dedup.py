@@ -9,8 +9,9 @@ continue each other compact into long spans by joins of heads and tails. Every
 span is then verified at its source coordinates on the texts themselves.
 
 Edge cases: null or empty texts and texts shorter than a window lose nothing;
-rows that share a doc_id are one document, a null doc_id sorting first; an empty
-table gives an empty table; other columns are not read.
+rows equal in doc_id and text are one document; different texts that share a doc_id,
+or have none, are documents of their own, ordered by a hash of the text; a null doc_id
+sorts first; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,12 @@ LENGTH, PART = 20, 8
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
+    """``doc, text, mark``: a text is named by its doc_id, NO_ID for none, and a hash of
+    itself, so that different texts that share an id, or lack one, stay apart."""
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("mark"),
+    )
 
 
 def _batch(schema: str, **columns) -> pa.RecordBatch:
@@ -59,12 +65,12 @@ def anchor_counts(docs: DataFrame, length: int, part: int) -> DataFrame:
 
 def repeated_paths(docs: DataFrame, table, length: int, part: int) -> DataFrame:
     """Pieces whose anchor may repeat, with their coordinates."""
-    schema = "a long, b long, anchor long, doc long, start int, n int"
+    schema = "a long, b long, anchor long, doc long, mark long, start int, n int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BitTable(table.value)
         for batch in batches:
-            doc_ids, out = batch.column(0).to_numpy(), {c: [] for c in ("a", "b", "anchor", "doc", "start", "n")}
+            doc_ids, marks, out = batch.column(0).to_numpy(), batch.column(2).to_numpy(), {c: [] for c in ("a", "b", "anchor", "doc", "mark", "start", "n")}
             for lo, _, w in word_groups(batch.column(1)):
                 h = w.hashes()
                 p = pieces(h, w.first, length, part)
@@ -72,7 +78,7 @@ def repeated_paths(docs: DataFrame, table, length: int, part: int) -> DataFrame:
                 start, n = p.start[keep], p.windows[keep]
                 owner = np.searchsorted(w.first, start, "right") - 1
                 a, b = SpanHash(h)(start, start + n + length - 1)
-                for c, v in zip(out, (a, b, p.anchor[keep], doc_ids[lo + owner], start - w.first[owner], n)):
+                for c, v in zip(out, (a, b, p.anchor[keep], doc_ids[lo + owner], marks[lo + owner], start - w.first[owner], n)):
                     out[c].append(v)
             yield _batch(schema, **{c: _joined(v, np.uint64 if c in ("a", "b", "anchor") else np.int64) for c, v in out.items()})
 
@@ -81,55 +87,56 @@ def repeated_paths(docs: DataFrame, table, length: int, part: int) -> DataFrame:
 
 def edges_at(docs: DataFrame, spots, table, length: int, part: int) -> DataFrame:
     """Single edges of the pieces whose coordinates are in the table ``spots``."""
-    schema = "a long, b long, doc long, start int"
+    schema = "a long, b long, doc long, mark long, start int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, known = BitTable(spots.value), BitTable(table.value)
         for batch in batches:
-            doc_ids, out = batch.column(0).to_numpy(), {c: [] for c in ("a", "b", "doc", "start")}
+            doc_ids, marks, out = batch.column(0).to_numpy(), batch.column(2).to_numpy(), {c: [] for c in ("a", "b", "doc", "mark", "start")}
             for lo, _, w in word_groups(batch.column(1)):
                 h = w.hashes()
                 p = pieces(h, w.first, length, part)
                 owner = np.searchsorted(w.first, p.start, "right") - 1
-                keep = known.has(p.anchor) & wanted.has(spot(doc_ids[lo + owner], p.start - w.first[owner]))
+                keep = known.has(p.anchor) & wanted.has(spot(doc_ids[lo + owner], marks[lo + owner], p.start - w.first[owner]))
                 n = p.windows[keep]
                 start = np.repeat(p.start[keep], n) + run_index(n)
                 owner = np.repeat(owner[keep], n)
                 a, b = SpanHash(h)(start, start + length)
-                for c, v in zip(out, (a, b, doc_ids[lo + owner], start - w.first[owner])):
+                for c, v in zip(out, (a, b, doc_ids[lo + owner], marks[lo + owner], start - w.first[owner])):
                     out[c].append(v)
             yield _batch(schema, **{c: _joined(v, np.uint64 if c in ("a", "b") else np.int64) for c, v in out.items()})
 
     return _texts(docs).mapInArrow(run, schema)
 
 
-def spot(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+def spot(doc: np.ndarray, mark: np.ndarray, start: np.ndarray) -> np.ndarray:
     """A hash of coordinates."""
-    return mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
+    text = mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mark.astype(np.int64).view(np.uint64))
+    return mix(text + start.astype(np.uint64))
 
 
 def spots_of(rows: DataFrame) -> DataFrame:
-    """``spot`` of ``doc, start`` rows."""
+    """``spot`` of ``doc, mark, start`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _batch("spot long", spot=spot(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            yield _batch("spot long", spot=spot(*(batch.column(c).to_numpy() for c in range(3))))
 
-    return rows.select("doc", "start").mapInArrow(run, "spot long")
+    return rows.select("doc", "mark", "start").mapInArrow(run, "spot long")
 
 
 def split_by_table(texts: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``doc, text`` that may be in ``wanted (doc)`` and those that can't,
+    """Rows of ``doc, text, mark`` that may be in ``wanted (doc, mark)`` and those that can't,
     so that only the former are shuffled to be joined."""
-    ids = spots_of(wanted.select("doc", F.lit(0).alias("start")))
+    ids = spots_of(wanted.select("doc", "mark", F.lit(0).alias("start")))
     table = texts.sparkSession.sparkContext.broadcast(bit_table(ids))
 
     def side(inside: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = BitTable(table.value)
             for batch in batches:
-                doc = batch.column(0).to_numpy()
-                yield batch.filter(pa.array(known.has(spot(doc, np.zeros(len(doc), np.int64))) == inside))
+                doc, mark = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                yield batch.filter(pa.array(known.has(spot(doc, mark, np.zeros(len(doc), np.int64))) == inside))
 
         return texts.mapInArrow(run, texts.schema)
 
@@ -137,38 +144,40 @@ def split_by_table(texts: DataFrame, wanted: DataFrame) -> tuple[DataFrame, Data
 
 
 def claims(docs: DataFrame, length: int, part: int, store: Store) -> DataFrame:
-    """``doc, start, n, source, origin``: ``n`` windows from word ``start`` that
-    equal earlier ones, from word ``origin`` of ``source``."""
+    """``doc, mark, start, n, source, source_mark, origin``: ``n`` windows from word
+    ``start`` that equal earlier ones, from word ``origin`` of ``source``."""
     context = docs.sparkSession.sparkContext
     table = context.broadcast(repeated_anchors(anchor_counts(docs, length, part)))
     found = store.put(repeated_paths(docs, table, length, part), "paths")
-    first = F.min(F.struct("doc", "start"))
+    at = F.struct("doc", "mark", "start")
+    first = F.min(at)
+    source = (F.col("first.doc").alias("source"), F.col("first.mark").alias("source_mark"), F.col("first.start").alias("origin"))
     paths = store.put(
         found.groupBy("a", "b").agg(first.alias("first"), F.count(F.lit(1)).alias("times"), F.first("anchor").alias("anchor"), F.first("n").alias("n")),
         "path-names",
     )
-    whole = found.join(paths.filter("times > 1").select("a", "b", "first"), ["a", "b"]).filter(F.struct("doc", "start") > F.col("first"))
-    whole = whole.select("doc", "start", "n", F.col("first.doc").alias("source"), F.col("first.start").alias("origin"))
+    whole = found.join(paths.filter("times > 1").select("a", "b", "first"), ["a", "b"]).filter(at > F.col("first"))
+    whole = whole.select("doc", "mark", "start", "n", *source)
     # Different paths with one anchor: their edges are compared one by one.
     forks = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).filter("paths > 1").select("anchor")
-    forked = paths.join(forks, "anchor").select("first.doc", "first.start")
+    forked = paths.join(forks, "anchor").select("first.*")
     spots = context.broadcast(bit_table(spots_of(forked)))
     edges = store.put(edges_at(docs, spots, table, length, part), "edges")
     sources = edges.groupBy("a", "b").agg(first.alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    single = edges.join(sources, ["a", "b"]).filter(F.struct("doc", "start") > F.col("first"))
-    single = single.select("doc", "start", F.lit(1).alias("n"), F.col("first.doc").alias("source"), F.col("first.start").alias("origin"))
+    single = edges.join(sources, ["a", "b"]).filter(at > F.col("first"))
+    single = single.select("doc", "mark", "start", F.lit(1).alias("n"), *source)
     out = store.put(whole.unionByName(single).distinct(), "claims")
     store.drop("paths", "path-names", "edges")
     return out
 
 
 def compact(found: DataFrame, length: int) -> DataFrame:
-    """Long spans ``doc, start, words, source, origin`` out of adjoining claims.
+    """Long spans ``doc, mark, start, words, source, source_mark, origin`` out of adjoining claims.
 
     A claim without predecessor heads a path, one without successor ends it; the
     i-th head and the i-th tail of a (document, source, shift) belong together."""
     keyed = found.withColumn("shift", F.col("start") - F.col("origin"))
-    same = ["doc", "source", "shift"]
+    same = ["doc", "mark", "source", "source_mark", "shift"]
     begins = keyed.select(*same, F.col("start").alias("place"))
     ends = keyed.select(*same, (F.col("start") + F.col("n")).alias("place"))
     heads = begins.join(ends, [*same, "place"], "left_anti")
@@ -177,7 +186,7 @@ def compact(found: DataFrame, length: int) -> DataFrame:
     heads = heads.withColumn("rank", F.row_number().over(ranked)).withColumnRenamed("place", "start")
     tails = tails.withColumn("rank", F.row_number().over(ranked)).withColumnRenamed("place", "until")
     return heads.join(tails, [*same, "rank"]).select(
-        "doc", "start", (F.col("until") - F.col("start") + length - 1).alias("words"), "source", (F.col("start") - F.col("shift")).alias("origin")
+        "doc", "mark", "start", (F.col("until") - F.col("start") + length - 1).alias("words"), "source", "source_mark", (F.col("start") - F.col("shift")).alias("origin")
     )
 
 
@@ -188,15 +197,15 @@ def _digest(w, base: int, start: int, words: int) -> bytes:
 
 def _cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
     """Every document without its spans, and digests of its spans and of those
-    that others claim to repeat: ``doc, n_words, n_removed, kept, kept_sha256, digests``."""
-    own = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
-    asked = spans.select(F.col("source").alias("doc"), F.col("origin").alias("start"), "words").distinct()
-    asked = asked.groupBy("doc").agg(F.collect_list(F.struct("start", "words")).alias("asked"))
+    that others claim to repeat: ``doc, mark, n_words, n_removed, kept, kept_sha256, digests``."""
+    own = spans.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
+    asked = spans.select(F.col("source").alias("doc"), F.col("source_mark").alias("mark"), F.col("origin").alias("start"), "words").distinct()
+    asked = asked.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "words")).alias("asked"))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removes, requests = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            removes, requests = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             counts, removed, kept, hashes, digests = [], [], [], [], []
             for lo, hi, w in word_groups(batch.column(1)):
                 for i in range(hi - lo):
@@ -214,16 +223,16 @@ def _cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
                     hashes.append(hashlib.sha256(left).hexdigest())
                     digests.append([{"start": s, "words": k, "digest": _digest(w, base, s, k)} for s, k in told])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(hashes, pa.string()), pa.array(digests, kind)],
-                ["doc", "n_words", "n_removed", "kept", "kept_sha256", "digests"],
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(hashes, pa.string()), pa.array(digests, kind)],
+                ["doc", "mark", "n_words", "n_removed", "kept", "kept_sha256", "digests"],
             )
 
-    schema = "doc long, n_words long, n_removed long, kept string, kept_sha256 string, digests array<struct<start:int,words:int,digest:binary>>"
-    wanted = own.join(asked, "doc", "full")
+    schema = "doc long, mark long, n_words long, n_removed long, kept string, kept_sha256 string, digests array<struct<start:int,words:int,digest:binary>>"
+    wanted = own.join(asked, ["doc", "mark"], "full")
     touched, rest = split_by_table(_texts(docs), wanted)
     nothing = "array<struct<start:int,words:int>>"
     plain = rest.withColumns({c: F.lit(None).cast(nothing) for c in ("spans", "asked")})
-    joined = touched.join(wanted, "doc", "left").select("doc", "text", *(F.col(c).cast(nothing) for c in ("spans", "asked")))
+    joined = touched.join(wanted, ["doc", "mark"], "left").select("doc", "text", "mark", *(F.col(c).cast(nothing) for c in ("spans", "asked")))
     return joined.mapInArrow(run, schema).unionByName(plain.mapInArrow(run, schema))
 
 
@@ -236,11 +245,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, part: int = PART, text
     store.drop("claims")
     while True:
         done = store.put(_cut(docs, spans, texts), "cut")
-        told = done.select("doc", F.explode("digests").alias("d")).select("doc", "d.*").distinct()
+        told = done.select("doc", "mark", F.explode("digests").alias("d")).select("doc", "mark", "d.*").distinct()
         here = told.withColumnRenamed("digest", "own")
-        there = told.select(F.col("doc").alias("source"), F.col("start").alias("origin"), "words", "digest")
-        false = spans.join(here, ["doc", "start", "words"]).join(there, ["source", "origin", "words"]).filter("own <> digest")
-        false = store.put(false.select("doc", "start", "words", "source", "origin"), "false-spans")
+        there = told.select(F.col("doc").alias("source"), F.col("mark").alias("source_mark"), F.col("start").alias("origin"), "words", "digest")
+        false = spans.join(here, ["doc", "mark", "start", "words"]).join(there, ["source", "source_mark", "origin", "words"]).filter("own <> digest")
+        false = store.put(false.select(*spans.columns), "false-spans")
         if false.isEmpty():
             break
         spans = store.put(spans.join(false, spans.columns, "left_anti"), "spans")

@@ -10,8 +10,8 @@ shards of such an anchor merge by binary search of their sorted string names.
 
 Edge cases: null or empty texts and texts shorter than the string length keep
 everything; repeated rows are separate copies, so long ones lose everything;
-rows that share a doc_id share their text; an empty table gives an empty table;
-other columns are not read.
+different texts that share a doc_id, or have none, are texts of their own, told apart
+by a hash; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from spendcast.llm.store import Store
 LENGTH, PART = 400, 48
 SHARD_BYTES = 2 << 20
 SLICE_NAMES = 1 << 18
+PIECES = 1 << 12  # pieces a task passes on at once
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +142,12 @@ def anchor_counts(docs: DataFrame, length: int, part: int) -> DataFrame:
 
 def named_pieces(docs: DataFrame, table, length: int, part: int) -> DataFrame:
     """Pieces whose anchor may repeat, by the 128-bit name of their bytes."""
-    schema = "a long, b long, anchor long, doc long, start int, n int"
+    schema = "a long, b long, anchor long, doc long, mark long, start int, n int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BitTable(table.value)
         for batch in batches:
-            doc_ids, out = batch.column(0).to_numpy(), {c: [] for c in ("a", "b", "anchor", "doc", "start", "n")}
+            doc_ids, marks = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for lo, raw, first in _byte_groups(batch.column(1)):
                 symbols = _VALUE[raw]
                 p = pieces(symbols, first, length, part)
@@ -156,34 +157,38 @@ def named_pieces(docs: DataFrame, table, length: int, part: int) -> DataFrame:
                 start, n = p.start[keep], p.windows[keep]
                 owner = np.searchsorted(first, start, "right") - 1
                 a, b = SpanHash(symbols)(start, start + n + length - 1)
-                for c, v in zip(out, (a, b, p.anchor[keep], doc_ids[lo + owner], start - first[owner], n)):
-                    out[c].append(v)
-            yield _batch(schema, **{c: _joined(v, np.uint64 if c in ("a", "b", "anchor") else np.int64) for c, v in out.items()})
+                yield _batch(schema, a=a, b=b, anchor=p.anchor[keep], doc=doc_ids[lo + owner], mark=marks[lo + owner], start=start - first[owner], n=n)
 
     return _texts(docs).mapInArrow(run, schema)
 
 
 def piece_bytes(docs: DataFrame, spots, table, length: int, part: int) -> DataFrame:
     """The bytes of the pieces whose coordinates are in the table ``spots``."""
-    names = ["anchor", "doc", "start", "n", "data"]
+    names = ["anchor", "doc", "mark", "start", "n", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, known = BitTable(spots.value), BitTable(table.value)
         for batch in batches:
-            doc_ids, columns = batch.column(0).to_numpy(), [[] for _ in names]
+            doc_ids, marks = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for lo, raw, first in _byte_groups(batch.column(1)):
                 p = pieces(_VALUE[raw], first, length, part)
                 owner = np.searchsorted(first, p.start, "right") - 1
                 start = p.start - first[owner]
-                keep = known.has(p.anchor) & wanted.has(spot(doc_ids[lo + owner], start))
-                data = [raw[s : s + k + length - 1].tobytes() for s, k in zip(p.start[keep].tolist(), p.windows[keep].tolist())]
-                for c, v in zip(columns, (p.anchor[keep].view(np.int64), doc_ids[lo + owner[keep]], start[keep], p.windows[keep])):
-                    c.extend(v.tolist())
-                columns[-1].extend(data)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-    return _texts(docs).mapInArrow(run, "anchor long, doc long, start int, n int, data binary")
+                keep = np.flatnonzero(known.has(p.anchor) & wanted.has(spot(doc_ids[lo + owner], marks[lo + owner], start)))
+                # Neighbouring pieces share bytes, so little is held at once.
+                for at in range(0, len(keep), PIECES):
+                    k = keep[at : at + PIECES]
+                    size = p.windows[k] + length - 1
+                    data = b"".join([raw[s : s + z].tobytes() for s, z in zip(p.start[k].tolist(), size.tolist())])
+                    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                    binary = pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(p.anchor[k].view(np.int64)), pa.array(doc_ids[lo + owner[k]]), pa.array(marks[lo + owner[k]]),
+                         pa.array(start[k], pa.int32()), pa.array(p.windows[k], pa.int32()), binary],
+                        names,
+                    )
+
+    return _texts(docs).mapInArrow(run, "anchor long, doc long, mark long, start int, n int, data binary")
 
 
 def sharded(found: DataFrame, shard_bytes: int, length: int) -> tuple[DataFrame, int]:
@@ -196,7 +201,7 @@ def sharded(found: DataFrame, shard_bytes: int, length: int) -> tuple[DataFrame,
     anchors = found.groupBy("anchor").agg(F.sum(size).alias("bytes")).withColumn("parts", F.ceil(F.col("bytes") / shard_bytes).cast("int"))
     total, wide = anchors.agg(F.sum("bytes"), F.sum(F.when(F.col("parts") > 1, F.col("bytes")))).first()
     shards = max(1, -(-2 * (total or 0) // shard_bytes))
-    dealt = F.pmod(F.xxhash64("doc", "start"), F.col("parts"))
+    dealt = F.pmod(F.xxhash64("doc", "mark", "start"), F.col("parts"))
     rows = found.join(anchors.drop("bytes"), "anchor").withColumn("wide", F.col("parts") > 1).withColumn(
         "shard", F.when(F.col("wide"), F.xxhash64("anchor", dealt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     ).drop("parts")
@@ -204,10 +209,10 @@ def sharded(found: DataFrame, shard_bytes: int, length: int) -> tuple[DataFrame,
 
 
 def shard_strings(rows: DataFrame, length: int, slices: int) -> DataFrame:
-    """Per shard: ``doc, start, n`` of repeated strings (``slice`` null), and a sorted
+    """Per shard: ``doc, mark, start, n`` of repeated strings (``slice`` null), and a sorted
     run of names and places per slice (``run``): one string of each class of wide
     anchors, for merging with other shards."""
-    schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("slice", pa.int64()), ("run", pa.binary())])
+    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("slice", pa.int64()), ("run", pa.binary())])
 
     def run(table):
         table = table.combine_chunks()
@@ -217,7 +222,7 @@ def shard_strings(rows: DataFrame, length: int, slices: int) -> DataFrame:
         strings = table.column("n").to_numpy().astype(np.int64)
         place, number = repeated_strings(text, begin, strings, length)
         owner = np.repeat(np.arange(len(strings)), strings)
-        doc, base = table.column("doc").to_numpy(), table.column("start").to_numpy()
+        doc, mark, base = (table.column(c).to_numpy() for c in ("doc", "mark", "start"))
         start = base[owner] + place - begin[owner]
         times = np.bincount(number, minlength=int(number.max()) + 1 if len(number) else 0)
         twice = np.flatnonzero(times[number] > 1)
@@ -227,7 +232,7 @@ def shard_strings(rows: DataFrame, length: int, slices: int) -> DataFrame:
         at = np.flatnonzero(head)
         size = np.diff(np.append(at, len(twice)))
         none = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())]
-        out = pa.table([pa.array(doc[owner[twice[at]]]), pa.array(start[twice[at]], pa.int32()), pa.array(size, pa.int32()), *none], schema=schema)
+        out = pa.table([pa.array(doc[owner[twice[at]]]), pa.array(mark[owner[twice[at]]]), pa.array(start[twice[at]], pa.int32()), pa.array(size, pa.int32()), *none], schema=schema)
         wide = np.flatnonzero(table.column("wide").to_numpy(zero_copy_only=False)[owner])
         if len(wide):
             _, one = np.unique(number[wide], return_index=True)
@@ -235,56 +240,56 @@ def shard_strings(rows: DataFrame, length: int, slices: int) -> DataFrame:
             a, b = SpanHash(_VALUE[text])(place[one], place[one] + length)
             slice_ = (a % np.uint64(slices)).astype(np.int64)
             order = np.lexsort((b, a, slice_))
-            packed = np.stack([a.view(np.int64), b.view(np.int64), doc[owner[one]], start[one].astype(np.int64)], 1)[order]
+            packed = np.stack([a.view(np.int64), b.view(np.int64), doc[owner[one]], mark[owner[one]], start[one].astype(np.int64)], 1)[order]
             cut = np.searchsorted(slice_[order], np.arange(slices + 1))
             used = np.flatnonzero(np.diff(cut))
-            none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+            none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())]
             more = pa.table([*none, pa.array(used), pa.array([packed[cut[s] : cut[s + 1]].tobytes() for s in used], pa.binary())], schema=schema)
             out = pa.concat_tables([out, more])
         return out
 
-    return rows.groupBy("shard").applyInArrow(run, "doc long, start int, n int, slice long, run binary")
+    return rows.groupBy("shard").applyInArrow(run, "doc long, mark long, start int, n int, slice long, run binary")
 
 
 def merged(runs: DataFrame) -> DataFrame:
-    """Strings that stand in several shards of one anchor: ``doc, start, n``.
+    """Strings that stand in several shards of one anchor: ``doc, mark, start, n``.
 
     A slice merges the shards' sorted runs and looks each name up in the whole by
     binary search; a shard gives a name once, so more places mean more shards."""
 
     def run(table):
-        rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 4) for x in table.column("run").to_pylist()])
+        rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 5) for x in table.column("run").to_pylist()])
         rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
         fresh = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])
         name = np.cumsum(np.concatenate([[False], fresh]))
         twice = np.searchsorted(name, name, "right") - np.searchsorted(name, name, "left") > 1
         found = rows[twice]
-        return pa.table({"doc": pa.array(found[:, 2]), "start": pa.array(found[:, 3], pa.int32()), "n": pa.array(np.ones(len(found)), pa.int32())})
+        return pa.table({"doc": pa.array(found[:, 2]), "mark": pa.array(found[:, 3]), "start": pa.array(found[:, 4], pa.int32()), "n": pa.array(np.ones(len(found)), pa.int32())})
 
-    return runs.groupBy("slice").applyInArrow(run, "doc long, start int, n int")
+    return runs.groupBy("slice").applyInArrow(run, "doc long, mark long, start int, n int")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, part: int = PART, shard_bytes: int = SHARD_BYTES, store: Store | None = None) -> DataFrame:
-    """``doc, start, bytes``: bytes covered by strings that occur elsewhere."""
+    """``doc, mark, start, bytes``: bytes covered by strings that occur elsewhere."""
     context = docs.sparkSession.sparkContext
     store = store or Store(docs.sparkSession)
     table = context.broadcast(repeated_anchors(anchor_counts(docs, length, part)))
     found = store.put(named_pieces(docs, table, length, part), "pieces")
     names = store.put(
-        found.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("times"), F.first("anchor").alias("anchor")),
+        found.groupBy("a", "b").agg(F.min(F.struct("doc", "mark", "start")).alias("first"), F.count(F.lit(1)).alias("times"), F.first("anchor").alias("anchor")),
         "piece-names",
     )
-    whole = found.join(names.filter("times > 1").select("a", "b"), ["a", "b"]).select("doc", "start", "n")
+    whole = found.join(names.filter("times > 1").select("a", "b"), ["a", "b"]).select("doc", "mark", "start", "n")
     # Different pieces with one anchor, if one of them is not yet known to repeat.
     forks = names.groupBy("anchor").agg(F.count(F.lit(1)).alias("names"), F.min("times").alias("least")).filter("names > 1 AND least = 1").select("anchor")
-    forked = names.join(forks, "anchor").select("first.doc", "first.start")
+    forked = names.join(forks, "anchor").select("first.*")
     spots = context.broadcast(bit_table(spots_of(forked)))
     rows = store.put(piece_bytes(docs, spots, table, length, part), "piece-bytes")
     dealt, slices = sharded(rows, shard_bytes, length)
     inside = store.put(shard_strings(dealt, length, slices), "shard-strings")
     across = merged(inside.filter("slice IS NOT NULL").select("slice", "run"))
-    spans = whole.unionByName(inside.filter("slice IS NULL").select("doc", "start", "n")).unionByName(across)
-    out = store.put(spans.distinct().select("doc", "start", (F.col("n") + F.lit(length - 1)).alias("bytes")), "byte-spans")
+    spans = whole.unionByName(inside.filter("slice IS NULL").select("doc", "mark", "start", "n")).unionByName(across)
+    out = store.put(spans.distinct().select("doc", "mark", "start", (F.col("n") + F.lit(length - 1)).alias("bytes")), "byte-spans")
     store.drop("pieces", "piece-names", "piece-bytes", "shard-strings")
     return out
 
@@ -293,12 +298,12 @@ def remove_strings(docs: DataFrame, length: int = LENGTH, part: int = PART, shar
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes, if ``texts``) and ``kept_sha256``."""
     small_batches(docs.sparkSession)
     spans = repeated_spans(docs, length, part, shard_bytes)
-    own = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
+    own = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "bytes")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
-            removes = batch.column(2).to_pylist()
+            removes = batch.column(3).to_pylist()
             counts, removed, runs, kept, hashes = [], [], [], [], []
             for i, spans in enumerate(removes):
                 text = raw[offsets[i] : offsets[i + 1]]
@@ -320,8 +325,8 @@ def remove_strings(docs: DataFrame, length: int = LENGTH, part: int = PART, shar
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
     touched, rest = split_by_table(_texts(docs), own)
     nothing = F.lit(None).cast("array<struct<start:int,bytes:int>>").alias("spans")
-    joined = touched.join(own, "doc", "left").select("doc", "text", "spans")
-    done = joined.mapInArrow(run, schema).unionByName(rest.select("doc", "text", nothing).mapInArrow(run, schema))
+    joined = touched.join(own, ["doc", "mark"], "left").select("doc", "text", "mark", "spans")
+    done = joined.mapInArrow(run, schema).unionByName(rest.select("doc", "text", "mark", nothing).mapInArrow(run, schema))
     return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
 
 
