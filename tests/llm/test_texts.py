@@ -123,20 +123,21 @@ def test_longest_common_extension(a, b, i, j):
     assert fingerprints.common_extension(x, i, y, j) == n
 
 
-def test_lm_base_is_exact(spark, monkeypatch):
-    for frequent in (1 << 19, 8):  # all counts broadcast, or most of them joined
-        monkeypatch.setattr(lm_score, "FREQUENT", frequent)
-        monkeypatch.setattr(lm_score, "SYMBOLS", min(frequent, 1 << 14))
-        got = table(lm_score.score(documents(spark, ROWS)))
-        held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in ROWS}
-        tokens = {i: words(t) + [None] for i, t, *_ in ROWS}
-        c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
-        total = sum(c.values())
-        for i, w in tokens.items():
-            g = got[i]
-            base = sum(math.log10((c[x] + 0.5) / (total + 0.5 * (len(c) + 1))) for x in w)
-            assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == (held[i], len(w), sum(c[x] > 0 for x in w), total)
-            assert abs(g["base_score"] - base) < 1e-9 * max(1, abs(base)) and math.isfinite(g["score"]) and g["score"] < 0
+@pytest.mark.parametrize("slice_bytes, asked", [(8 << 20, 8_000_000), (1 << 15, 1 << 10)])
+def test_lm_base_is_exact(spark, monkeypatch, slice_bytes, asked):
+    """One slice in one task, or many slices in several."""
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(lm_score, "ASKED", asked)
+    got = table(lm_score.score(documents(spark, ROWS)))
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in ROWS}
+    tokens = {i: words(t) + [None] for i, t, *_ in ROWS}
+    c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
+    total = sum(c.values())
+    for i, w in tokens.items():
+        g = got[i]
+        base = sum(math.log10((c[x] + 0.5) / (total + 0.5 * (len(c) + 1))) for x in w)
+        assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == (held[i], len(w), sum(c[x] > 0 for x in w), total)
+        assert abs(g["base_score"] - base) < 1e-9 * max(1, abs(base)) and math.isfinite(g["score"]) and g["score"] < 0
 
 
 def lm_expected(rows):
@@ -149,9 +150,7 @@ def lm_expected(rows):
     return {i: (held[i], len(w), sum(c[x] > 0 for x in w), total, base[i]) for i, w in tokens.items()}
 
 
-@pytest.mark.parametrize("frequent", [1 << 19, 8])
-def test_lm_words_are_lower_cased(spark, monkeypatch, frequent):
-    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+def test_lm_words_are_lower_cased(spark):
     rows = ROWS + [(900 + i, "The CAT the Cat É é zoo ZOO") for i in range(12)]
     got = table(lm_score.score(documents(spark, rows)))
     for i, (*exact, base) in lm_expected(rows).items():
@@ -161,26 +160,41 @@ def test_lm_words_are_lower_cased(spark, monkeypatch, frequent):
 
 
 def lm_scores_expected(rows):
-    """Scores from quantised pair counts; words' own counts are exact."""
+    """Scores from quantised counts of words and pairs."""
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, *_ in rows}
     tokens = {i: words((t or "").translate(LOWER)) + ["\n"] for i, t, *_ in rows}
     c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
-    c[None] = c["\n"]
     pairs = Counter(p for i, w in tokens.items() if not held[i] for p in zip([None, *w], w))
-    scale = sum(n for x, n in c.items() if x) + 0.5 * len(c)
+    scale = sum(c.values()) + 0.5 * (len(c) + 1)
     middle = lambda n: 0 if not n else n if n == 1 else lm_score.QUANT ** (lm_score.quantised(np.array([n]))[0] - 0.5)
-    chance = lambda h, x: (min(middle(pairs[h, x]), c[h]) + lm_score.MU * (c[x] + 0.5) / scale) / (c[h] + lm_score.MU)
+    own = {x: middle(n) for x, n in c.items()} | {None: middle(c["\n"])}
+    chance = lambda h, x: (min(middle(pairs[h, x]), own.get(h, 0)) + lm_score.MU * (own.get(x, 0) + 0.5) / scale) / (own.get(h, 0) + lm_score.MU)
     return {i: sum(math.log10(chance(h, x)) for h, x in zip([None, *w], w)) for i, w in tokens.items()}
 
 
-def test_lm_pairs_of_all_words(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "SYMBOLS", 8)  # pairs must not depend on it
+@pytest.mark.parametrize("slice_bytes, asked", [(8 << 20, 8_000_000), (1 << 15, 1 << 10)])
+def test_lm_pairs_of_all_words(spark, monkeypatch, slice_bytes, asked):
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(lm_score, "ASKED", asked)
     rows = ROWS + [(900 + i, f"seldom{i // 3} Met{i // 3} here") for i in range(60)]
     got = table(lm_score.score(documents(spark, rows)))
     for i, want in lm_scores_expected(rows).items():
         assert abs(got[i]["score"] - want) < 1e-9 * max(1, abs(want))
 
 
+def test_lm_held_out_texts_are_likelier_than_by_words_alone(spark):
+    rng = np.random.default_rng(7)
+    following = rng.integers(0, 60, (60, 3))
+    rows = []
+    for i in range(300):
+        w = [int(rng.integers(60))]
+        for _ in range(80):
+            w.append(int(following[w[-1], rng.integers(3)]))
+        rows.append((i, " ".join(f"w{x}" for x in w)))
+    got = lm_score.score(documents(spark, rows)).filter("held_out").selectExpr("sum(score) / sum(n_tokens) AS s", "sum(base_score) / sum(n_tokens) AS b").first()
+    assert got.s > got.b + 0.5
+
+
 def test_lm_edge_tables(spark):
     assert lm_score.score(documents(spark, [])).count() == 0
     only_held = [(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
@@ -191,20 +205,18 @@ def test_lm_edge_tables(spark):
 
 def test_lm_filter_grows_with_its_settings():
     rng = np.random.default_rng(4)
-    for n in (20_000, 400_000):
-        width = lm_score.filter_width(n)
+    for n in (2_000, 200_000):
         keys = rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
-        bits = np.zeros(width << lm_score.SLICE_BITS, bool)
-        for probe in range(lm_score.PROBES):
-            bits[lm_score.filter_bits(keys, np.ones(n), probe, width)] = True
-        packed = np.packbits(bits.reshape(1 << lm_score.SLICE_BITS, width), axis=1, bitorder="little")
-        write = lm_score.zstandard.ZstdCompressor()
-        held = lm_score.LogFrequencyFilter({s: write.compress(p.tobytes()) for s, p in enumerate(packed)}, width)
-        assert (held.levels(keys) >= 1).all()
-        assert (held.levels(rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) << np.uint64(1)) > 0).mean() < 0.02
-    # 1.1e9 settings, the most projected for 30 GB: the bits, and so the chance, keep in step.
-    bits = lm_score.filter_width(1_100_000_000) << lm_score.SLICE_BITS
-    assert (1 - math.exp(-lm_score.PROBES * 1.1e9 / bits)) ** lm_score.PROBES < 0.012
+        counts = rng.integers(1, 50, n)
+        held = lm_score.LogFrequencyFilter.of(keys, counts)
+        assert len(held.words) == lm_score.filter_width(int(lm_score.quantised(counts).sum()))
+        assert (held.levels(keys) >= lm_score.quantised(counts)).all()
+        assert (held.levels(keys) > lm_score.quantised(counts)).mean() < 1e-4
+        assert (held.levels(rng.integers(0, 1 << 63, 300_000, dtype=np.uint64) << np.uint64(1)) > 0).mean() < 1e-4
+    # 1.1e9 settings, the most projected for 30 GB: slices keep their size, and so the chance.
+    bits = lm_score.slice_bits(1_100_000_000)
+    settings = 1_100_000_000 >> bits
+    assert lm_score.SLICE_BYTES / 2 <= lm_score.filter_width(settings) * 8 <= lm_score.SLICE_BYTES
 
 
 def test_log_frequency_levels():
