@@ -338,13 +338,13 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     store = Store(spark)
-    texts = store.put(grouped(training(docs)), "text-groups")
+    texts = store.put(grouped(training(docs)), "text-groups", "zstd")
     asked = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] // WORD_BYTES
     bits = slice_bits(asked)
-    slices = store.put(slices_of(counted(texts, bits)), "filter-slices")
+    slices = store.put(slices_of(counted(texts, bits)), "filter-slices", "zstd")
     tokens, distinct = slices.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "distinct"))).first()
     parts = max(1, -(-asked // (ASKED << bits)))
-    told = store.put(answers(questions(texts, bits, parts), slices, parts), "answers")
+    told = store.put(answers(questions(texts, bits, parts), slices, parts), "answers", "zstd")
     store.drop("filter-slices")
     out = store.put(finished(texts, told, tokens, tokens + 0.5 * (distinct + 1)), "scores")
     store.drop("answers", "text-groups")

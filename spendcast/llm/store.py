@@ -37,10 +37,10 @@ class Store:
         self.spark = spark
         self.paths: dict[str, str] = {}
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = scratch_folder(self.spark, name)
         with brief_shuffles(self.spark):
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         self.paths[name] = path
         return self.spark.read.parquet(path)
 
