@@ -139,3 +139,17 @@ def test_a_missed_bracket_falls_back_to_ranks(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "_brackets", lambda df, columns, p: {"x": (101, [(90.0, 95.0)])})
     df = spark.range(101).selectExpr("double(id) AS x")
     assert exact_quantiles(df, ["x"], {"m": 0.5}).first()["m"] == 50.0
+
+
+def test_only_keys_are_put_in_order_for_folds(spark, monkeypatch):
+    """Wide rows never meet in one task per label; repeated and null keys keep all rows."""
+    ranked = []
+    scan = evaluate.scan
+    monkeypatch.setattr(evaluate, "scan", lambda rows, *a, **k: ranked.append(rows.columns) or scan(rows, *a, **k))
+    rows = [(None if i % 10 == 0 else i // 2, None if i % 7 == 0 else i % 2, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "customer_id long, label int, wide double")
+    folded = evaluate.stratified_folds(df, 4).toPandas()
+    assert "wide" not in ranked[0]
+    assert sorted(folded.wide) == [r[2] for r in rows]
+    sizes = folded.groupby(["label", "fold"], dropna=False).size().unstack(fill_value=0)
+    assert ((sizes.max(axis=1) - sizes.min(axis=1)) <= 1).all()
