@@ -134,3 +134,18 @@ def test_no_shuffle_between_customer_scan_and_statistics(spark):
     frames = blocks.window_frames("2000-06")
     plan = blocks.frame_features(log, "2000-06", frames)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(customer_id") == 1
+
+
+def test_whole_histories_are_not_exploded(spark):
+    """Sums by order and product leave the columns that break ties behind, and no row is
+    exploded into its series; customers with odd values are summed by Spark."""
+    rows = [row(c, 10 * c + i // 2, f"2000-0{1 + i}-01", 1.0 + i, 2.0 * c, product=i, line=i) for c in (1, 2, 3) for i in range(6)]
+    odd = [row(4, 50, "2000-03-01", 1.0, float("inf"), product=1), row(5, 60, "2000-03-02", 2.0, 3.0, product=None), row(5, 61, "2000-04-02", 2.0, 5.0)]
+    plain = blocks.cumsum_features(make_log(spark, rows), MONTH)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "posexplode" not in plan
+    log = make_log(spark, rows + odd)
+    quick, slow = (to_frame(blocks.cumsum_features(log, MONTH, limits=limits)) for limits in (ScanLimits(), ScanLimits(1)))
+    quick, slow = (df[df.customer_id != 4].reset_index(drop=True) for df in (quick, slow))
+    assert len(quick) == 8
+    same(quick[sorted(quick.columns)], slow[sorted(slow.columns)])

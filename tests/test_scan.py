@@ -41,3 +41,14 @@ def test_scan_does_not_depend_on_limits(spark, limits, by):
 def test_hot_keys_come_with_their_rows(spark):
     df = spark.range(1000).selectExpr("if(id % 2 = 0, 0, id) AS k")
     assert [(r.k, r[HOT_ROWS]) for r in hot_keys(df, ["k"], ScanLimits(100)).collect()] == [(0, 500)]
+
+
+def test_keys_are_counted_by_bucket_first(spark, monkeypatch):
+    """Without a large key no table of all keys is shuffled."""
+    from spendcast.operators import scan as module
+
+    counted = []
+    cut = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: counted.append(df.columns) or cut(df))
+    assert hot_keys(spark.range(1000), ["id"], ScanLimits(100)).count() == 0
+    assert counted == [["name", "bucket", "n"]]
