@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendcast.llm.batches import run_index, small_batches
 
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 4 << 20
 LONG_PIECE = 256
 
 

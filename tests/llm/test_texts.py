@@ -282,3 +282,12 @@ def test_secrets_edge_tables(spark):
     )
     given_ = table(secrets.scan(documents(spark, secret_rows()), labels=labelled))
     assert len(given_[901]["__secrets"]) == 1 and len(given_[1]["__secrets"]) == 0
+
+
+def test_bpe_holds_few_texts_at_a_time():
+    text = "one two three four " * 500
+    batch = pa.record_batch({"doc_id": pa.array(range(100)), "text": pa.array([text] * 100)})
+    model = bpe.load(*bpe.default_vocabulary())
+    groups = [len(keys) for keys, _ in model.coded(iter([batch] * 12))]
+    assert sum(groups) == 1200
+    assert max(groups) * len(text) <= 6 << 20
