@@ -5,7 +5,7 @@ Every window of ``length`` words is an edge between its first and last
 branches inside. Repeated paths are those whose 128-bit name occurs twice; where
 different paths share an anchor, their edges are compared one by one. Each
 repeated edge learns the coordinates of its first occurrence; paths whose sources
-continue each other compact into long spans by joins of heads and tails. Every
+continue each other compact into long spans, read in order of their starts. Every
 span is then verified at its source coordinates on the texts themselves.
 
 Edge cases: null or empty texts and texts shorter than a window lose nothing;
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spendcast.llm.anchors import NO_ID, BitTable, SpanHash, bit_table, pieces, repeated_anchors
-from spendcast.llm.batches import mix, run_index, small_batches, word_groups
+from spendcast.llm.batches import mix, per_text, run_index, small_batches, word_groups
 from spendcast.llm.store import Store
 
 LENGTH, PART = 20, 8
@@ -166,7 +166,7 @@ def claims(docs: DataFrame, length: int, part: int, store: Store) -> DataFrame:
     sources = edges.groupBy("a", "b").agg(first.alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
     single = edges.join(sources, ["a", "b"]).filter(at > F.col("first"))
     single = single.select("doc", "mark", "start", F.lit(1).alias("n"), *source)
-    out = store.put(whole.unionByName(single).distinct(), "claims")
+    out = store.put(whole.unionByName(single), "claims")
     store.drop("paths", "path-names", "edges")
     return out
 
@@ -174,25 +174,28 @@ def claims(docs: DataFrame, length: int, part: int, store: Store) -> DataFrame:
 def compact(found: DataFrame, length: int) -> DataFrame:
     """Long spans ``doc, mark, start, words, source, source_mark, origin`` out of adjoining claims.
 
-    A claim without predecessor heads a path, one without successor ends it; the
-    i-th head and the i-th tail of a (document, source, shift) belong together."""
-    keyed = found.withColumn("shift", F.col("start") - F.col("origin"))
+    Claims of one (document, source, shift) in order of their starts: one that begins
+    beyond all before it begins a path, any other goes on with the path before."""
     same = ["doc", "mark", "source", "source_mark", "shift"]
-    begins = keyed.select(*same, F.col("start").alias("place"))
-    ends = keyed.select(*same, (F.col("start") + F.col("n")).alias("place"))
-    heads = begins.join(ends, [*same, "place"], "left_anti")
-    tails = ends.join(begins, [*same, "place"], "left_anti")
-    ranked = Window.partitionBy(*same).orderBy("place")
-    heads = heads.withColumn("rank", F.row_number().over(ranked)).withColumnRenamed("place", "start")
-    tails = tails.withColumn("rank", F.row_number().over(ranked)).withColumnRenamed("place", "until")
-    return heads.join(tails, [*same, "rank"]).select(
+    keyed = found.withColumn("shift", F.col("start") - F.col("origin")).select(*same, "start", (F.col("start") + F.col("n")).alias("until"))
+    by_start = Window.partitionBy(*same).orderBy("start")
+    reached = F.max("until").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("start") <= reached, 0).otherwise(1)
+    paths = keyed.withColumn("fresh", fresh).withColumn("path", F.sum("fresh").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = paths.groupBy(*same, "path").agg(F.min("start").alias("start"), F.max("until").alias("until"))
+    return spans.select(
         "doc", "mark", "start", (F.col("until") - F.col("start") + length - 1).alias("words"), "source", "source_mark", (F.col("start") - F.col("shift")).alias("origin")
     )
 
 
-def _digest(w, base: int, start: int, words: int) -> bytes:
-    spans = zip(w.start[base + start : base + start + words].tolist(), w.end[base + start : base + start + words].tolist())
-    return hashlib.blake2b(b" ".join(w.raw[s:e].tobytes() for s, e in spans), digest_size=16).digest()
+def _spaced(w) -> tuple[np.ndarray, np.ndarray]:
+    """All words of a group with a space after each, and where each begins."""
+    begin = np.concatenate([[0], np.cumsum(w.end - w.start + 1)])
+    letter = np.ones(begin[-1], bool)
+    letter[begin[1:] - 1] = False
+    out = np.full(begin[-1], 0x20, np.uint8)
+    out[letter] = w.raw[~w.space]
+    return out, begin
 
 
 def _cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
@@ -208,20 +211,24 @@ def _cut(docs: DataFrame, spans: DataFrame, texts: bool) -> DataFrame:
             removes, requests = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             counts, removed, kept, hashes, digests = [], [], [], [], []
             for lo, hi, w in word_groups(batch.column(1)):
-                for i in range(hi - lo):
-                    base, n = int(w.first[i]), int(w.count[i])
-                    keep = np.ones(n, bool)
-                    mine = {(x["start"], x["words"]) for x in removes[lo + i] or ()}
-                    for start, words in mine:
-                        keep[start : start + words] = False
-                    told = mine | {(x["start"], x["words"]) for x in requests[lo + i] or ()}
-                    at = np.flatnonzero(keep) + base
-                    left = b" ".join([w.raw[s:e].tobytes() for s, e in zip(w.start[at].tolist(), w.end[at].tolist())])
-                    counts.append(n)
-                    removed.append(n - len(at))
-                    kept.append(left.decode() if texts else None)
-                    hashes.append(hashlib.sha256(left).hexdigest())
-                    digests.append([{"start": s, "words": k, "digest": _digest(w, base, s, k)} for s, k in told])
+                data, begin = _spaced(w)
+                whole = data.tobytes()
+                mine = [{(x["start"], x["words"]) for x in removes[i] or ()} for i in range(lo, hi)]
+                keep = np.ones(len(w.start), bool)
+                for i, spans in enumerate(mine):
+                    for start, words in spans:
+                        keep[w.first[i] + start : w.first[i] + start + words] = False
+                left = whole if keep.all() else data[np.repeat(keep, np.diff(begin))].tobytes()
+                cut = np.concatenate([[0], np.cumsum(np.diff(begin) * keep)])[w.first].tolist()
+                stay = per_text(keep, w.first)
+                counts += w.count.tolist()
+                removed += (w.count - stay).tolist()
+                for i, spans in enumerate(mine):
+                    own = left[cut[i] : max(cut[i + 1] - 1, cut[i])]
+                    kept.append(own.decode() if texts else None)
+                    hashes.append(hashlib.sha256(own).hexdigest())
+                    told, base = spans | {(x["start"], x["words"]) for x in requests[lo + i] or ()}, int(w.first[i])
+                    digests.append([{"start": s, "words": k, "digest": hashlib.blake2b(whole[begin[base + s] : begin[base + s + k] - 1], digest_size=16).digest()} for s, k in told])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(hashes, pa.string()), pa.array(digests, kind)],
                 ["doc", "mark", "n_words", "n_removed", "kept", "kept_sha256", "digests"],

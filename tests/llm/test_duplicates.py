@@ -143,3 +143,12 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(20)] + [(50, i) for i in range(51, 70)] + [(60, 80), (90, 90)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(21)}, **{i: 50 for i in range(50, 70)}, 80: 50}
+
+
+def test_overlapping_claims_keep_their_whole_reach(spark):
+    claims = spark.createDataFrame(
+        [(1, 7, s, n, 0, 7, s + 40) for s, n in ((0, 10), (3, 2), (5, 1), (5, 3), (30, 2), (32, 1), (32, 1))],
+        "doc long, mark long, start int, n int, source long, source_mark long, origin int",
+    )
+    got = substring_dedup.compact(claims, 20).select("start", "words", "origin").collect()
+    assert sorted(map(tuple, got)) == [(0, 29, 40), (30, 22, 70)]
