@@ -202,6 +202,10 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
             sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b"
         )
 
+    def compared(pairs: DataFrame) -> DataFrame:
+        """What both share, and what ``b`` has beside ``a``."""
+        return sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total"), F.array_except("y", "x").alias("own"))
+
     def linked(found: DataFrame) -> DataFrame:
         return found.filter(enough).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -215,7 +219,7 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
         pairs = pairs.select(F.col("lead.key").alias("a"), F.col("key").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        now = store.put(sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total"), F.array_except("y", "x").alias("own")), f"tested-{r}")
+        now = store.put(compared(pairs), f"tested-{r}")
         own = store.put(leaders.select("band", F.col("lead.key").alias("lead")), f"leads-{r}")
         tested = now if tested is None else tested.unionByName(now)
         leads = own if leads is None else leads.unionByName(own)
@@ -227,52 +231,67 @@ def near_duplicates(docs: DataFrame, how: Similarity) -> DataFrame:
             break
     roots = components(linked(tested)).withColumnRenamed("node", "key")
     rooted = banded.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    # Classes of one bucket that are still apart. Two of them share at most what both
-    # share with a leader plus what they share beside it; only pairs for which that
-    # is enough are compared, seen from the leader that one of them is most like.
+    # Classes of one bucket that are still apart. Of two, one is outside the component
+    # that has most of the bucket and is no leader, for a leader has met its whole bucket.
     mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
     inside = store.put(rooted.join(mixed, "band").select("band", "key", "n", "root"), "mixed")
-    known = tested.select(F.col("a").alias("lead"), F.col("b").alias("key"), "inter", "total", "own")
-    against = inside.join(leads, "band").filter("key <> lead").join(known.drop("own"), ["lead", "key"], "left")
-    against = store.put(against, "against")
-    odd = against.filter("inter IS NULL").select("band", "key", "n", "root").distinct()  # too far in size to link to a leader
-    met = store.put(against.filter("inter IS NOT NULL").drop("band").dropDuplicates(["lead", "key"]).join(known.select("lead", "key", "own"), ["lead", "key"]), "met")
-    alike = F.col("inter") / (F.col("total") - F.col("inter"))
-    # Of two classes apart, one is outside the component that has most of the bucket.
     most = inside.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
-    best = against.filter("inter IS NOT NULL").groupBy("band", "key").agg(F.max_by("lead", F.struct(alike, "lead")).alias("lead"), F.min("root").alias("root"))
-    best = best.join(most, "band").filter("root <> main").select("lead", "key").distinct()
-    different = (F.col("x.root") != F.col("y.root")) & fits("x.n", "y.n")
-    # Without anything shared beside the leader a partner's size is bounded by the
-    # own part of the leader. One of the two is not linked to the leader, which
-    # leaves few partners, all smaller than the leader.
-    short = met.drop("own").withColumn("most", F.col("inter") * (100 + how.percent) / how.percent - F.col("n"))
-    loose = short.filter(~enough)
-    largest = loose.groupBy("lead").agg(F.max("most").alias("largest"))
-    small = short.join(largest, "lead").filter(F.col("n") <= F.col("largest"))
-    lone = loose.alias("x").join(
-        small.alias("y"),
-        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.key") != F.col("y.key")) & different
-        & (F.col("y.n") <= F.col("x.most")) & (F.col("x.n") <= F.col("y.most")),
-    ).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-    beside = met.select("lead", "key", "n", "root", "inter", F.explode("own").alias("extra"))
-    nearest = beside.join(best, ["lead", "key"])
-    shared = nearest.alias("x").join(
-        beside.alias("y"),
-        (F.col("x.lead") == F.col("y.lead")) & (F.col("x.extra") == F.col("y.extra")) & (F.col("x.key") != F.col("y.key")) & different,
+    outside = inside.join(most, "band").filter("root <> main").select("band", "key").join(
+        leads.withColumnRenamed("lead", "key"), ["band", "key"], "left_anti"
     )
+    # A bucket with such classes is seen from one pivot. Each of them proposes, of all
+    # leaders it was compared with in whichever bucket, the one that met most classes, if
+    # they are at least half alike, or else any leader of its buckets; then that leader's
+    # own choice, so that pivots are few. Most votes decide.
+    meetings = tested.groupBy("a").agg(F.count(F.lit(1)).alias("times"))
+    alike = F.col("inter") / (F.col("total") - F.col("inter"))
+    known = tested.join(meetings, "a").select("a", F.col("b").alias("key"), F.when(alike >= 0.5, F.col("times")).otherwise(0).alias("times"), alike.alias("alike"))
+    known = store.put(known.groupBy("key").agg(F.max_by(F.struct(F.col("a").alias("lead"), "times"), F.struct("times", "alike", "a")).alias("best")), "known")
+    spare = outside.join(leads, "band").groupBy("key").agg(F.max("lead").alias("spare"))
+    pivots = spare.join(known, "key", "left").select("key", F.coalesce("best.lead", "spare").alias("lead"))
+    higher = known.join(meetings.select(F.col("a").alias("key"), F.col("times").alias("own_times")), "key").filter("best.times > own_times")
+    higher = higher.select(F.col("key").alias("lead"), F.col("best.lead").alias("next"))
+    for _ in range(LEADERS):
+        pivots = pivots.join(higher, "lead", "left").select("key", F.coalesce("next", "lead").alias("lead"))
+    votes = outside.join(pivots, "key").groupBy("band", "lead").agg(F.count(F.lit(1)).alias("votes"))
+    chosen = store.put(votes.groupBy("band").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead")), "pivots")
+    mates = inside.join(chosen, "band").join(outside.withColumn("near", F.lit(True)), ["band", "key"], "left").filter("key <> lead")
+    mates = mates.groupBy("lead", "key").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.coalesce(F.max("near"), F.lit(False)).alias("near"))
+    mates = store.put(mates, "mates")
+    fresh = mates.select(F.col("lead").alias("a"), F.col("key").alias("b")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    tested = tested.unionByName(store.put(compared(fresh), "tested"))
+    met = store.put(mates.join(tested.select(F.col("a").alias("lead"), F.col("b").alias("key"), "inter", "own"), ["lead", "key"]), "met")
+    # What most of them have beside the pivot joins its set, a common origin's words
+    # that the pivot lacks: two classes share at most what both share with that set plus
+    # what they share beside it, whatever the set is.
+    crowd = met.groupBy("lead").agg(F.count(F.lit(1)).alias("crowd"))
+    beside = met.select("lead", "key", "near", F.explode("own").alias("extra"))
+    holders = beside.groupBy("lead", "extra").agg(F.count(F.lit(1)).alias("holders"), F.max("near").alias("wanted")).filter("holders > 1")
+    holders = holders.join(crowd, "lead").select("lead", "extra", "wanted", (2 * F.col("holders") > F.col("crowd")).alias("common"))
+    beside = store.put(beside.join(holders.filter("common OR wanted"), ["lead", "extra"]), "beside")
+    gained = beside.filter("common").groupBy("lead", "key").agg(F.count(F.lit(1)).alias("gained"))
+    short = met.drop("own").join(gained, ["lead", "key"], "left").withColumn("inter", F.col("inter") + F.coalesce("gained", F.lit(0)))
+    # ``most``: the largest size of a partner that shares nothing more.
+    short = store.put(short.drop("gained").withColumn("most", F.floor(F.col("inter") * (100 + how.percent) / how.percent - F.col("n"))), "short")
+    different = (F.col("x.key") != F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & fits("x.n", "y.n")
+    least = F.ceil(F.col("n") * how.percent / 100)
+    sized = short.filter("near").withColumn("least", least).filter("most >= least").withColumn(
+        "size", F.explode(F.sequence("least", F.least("most", F.floor(F.col("n") * 100 / how.percent))))
+    )
+    lone = sized.alias("x").join(
+        short.alias("y"), (F.col("x.lead") == F.col("y.lead")) & (F.col("x.size") == F.col("y.n")) & different & (F.col("x.n") <= F.col("y.most"))
+    ).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+    rare = beside.filter("NOT common").select("lead", "key", "extra").join(short, ["lead", "key"])
+    shared = rare.filter("near").alias("x").join(rare.alias("y"), (F.col("x.lead") == F.col("y.lead")) & (F.col("x.extra") == F.col("y.extra")) & different)
     both = shared.groupBy(
         F.col("x.lead"), F.col("x.key").alias("x_key"), F.col("y.key").alias("y_key"), F.col("x.n"), F.col("y.n").alias("m"), F.least("x.inter", "y.inter").alias("inter")
     ).agg(F.count(F.lit(1)).alias("more"))
     both = both.filter((F.col("inter") + F.col("more")) * (100 + how.percent) >= (F.col("n") + F.col("m")) * how.percent)
     both = both.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b"))
-    unlike = odd.alias("x").join(inside.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") != F.col("y.key")) & different).select(
-        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
-    )
-    pairs = store.put(lone.union(both).union(unlike).distinct(), "rest")
-    if not pairs.isEmpty():
-        more = linked(sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total")))
-        roots = components(linked(tested).unionByName(more)).withColumnRenamed("node", "key")
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = store.put(lone.union(both).distinct().join(done, ["a", "b"], "left_anti"), "rest")
+    more = linked(sides(pairs).select("a", "b", inter.alias("inter"), total.alias("total")))
+    roots = components(linked(tested).unionByName(more)).withColumnRenamed("node", "key")
     store.drop(*(name for name in list(store.paths) if name not in ("sketches", "classes")))
     # The least document of each component of classes.
     reps = classes.select("key", "best").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -131,6 +131,29 @@ def test_near_duplicates_edge_rows(spark):
     assert near_dup.near_duplicates(documents(spark, []), near_dup.QUERY).count() == 0
 
 
+def test_near_copies_of_a_missing_origin_are_not_paired(spark, monkeypatch):
+    """Most of a large group are linked, the rest too far from it: few pairs are left to compare."""
+    rng, how = np.random.default_rng(4), near_dup.STAGE
+    origin, rows = [f"w{i}" for i in range(150)], []
+    for i in range(400):
+        text = origin.copy()
+        for j in rng.choice(150, 1 + i % 8, replace=False):
+            text[j] = f"x{i}y{j}"
+        rows.append((i, " ".join(text)))
+    made, put = {}, near_dup.Store.put
+
+    def counted(self, df, name, *rest):
+        out = put(self, df, name, *rest)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup.Store, "put", counted)
+    got = table(near_dup.near_duplicates(documents(spark, rows), how))
+    for i, (n, component) in near_groups(rows, how).items():
+        assert (got[i]["n_shingles"], got[i]["component_id"]) == (n, component)
+    assert max(made[name] for name in made if name.startswith(("tested", "rest", "met"))) < 12 * len(rows)
+
+
 def test_circulant_signature_estimates_jaccard():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 1 << 62, 800, dtype=np.uint64), rng.integers(0, 1 << 62, (2, 100), dtype=np.uint64)
