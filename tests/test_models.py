@@ -162,3 +162,44 @@ def test_diagnostics_equal_the_single_operators(spark):
     pooled = found["auc"][found["auc"].fold.isna()].auc.iloc[0]
     assert pooled == evaluate.auc(scored).first()["auc"] and len(found["auc"]) == 4
     assert found["importance"].importance.sum() == pytest.approx(1)
+
+
+def test_model_queries_run_the_published_settings(monkeypatch):
+    """All blocks and ten folds, and as many rounds as the held-out fold asks for."""
+    import __spark_entry__ as registered
+
+    seen = {}
+    monkeypatch.setattr(registered, "star_log", lambda *a: None)
+    monkeypatch.setattr(registered, "customers", lambda *a: type("Keys", (), {"selectExpr": lambda self, *e: None})())
+    monkeypatch.setattr(training, "train_and_score", lambda *a, **options: seen.update(job=(a[3], options)))
+    registered.gbt_run(None, SF)
+    estimator, options = seen["job"]
+    assert estimator.getMaxIter() == models.ROUNDS and estimator.getMaxDepth() == 5
+    assert options.get("folds", 10) == 10 and "blocks" not in options
+
+    class Data:
+        raw_train, features = None, ["x"]
+
+    monkeypatch.setattr(registered.features, "feature_table", lambda *a, **options: seen.update(table=options))
+    monkeypatch.setattr(training, "model_input", lambda table, **options: seen.update(input=options) or Data)
+    monkeypatch.setattr(
+        models, "select_and_retrain",
+        lambda df, names, learner, **options: seen.update(selection=(learner, options)) or (names, type("Found", (), {"train": None})),
+    )
+    registered.selected_scores(None, SF)
+    learner, options = seen["selection"]
+    assert learner.getMaxIter() == models.ROUNDS and learner.getMaxDepth() == 6
+    assert options.get("folds", 10) == seen["input"].get("folds", 10) == 10 and "blocks" not in seen["table"]
+
+
+def test_selection_stops_once_patience_is_over(spark, monkeypatch):
+    """The first fit ends early too, where it would go through all rounds allowed."""
+    fitted = []
+    staged = models.fit_staged
+    monkeypatch.setattr(models, "fit_staged", lambda *a, **options: fitted.append(staged(*a, **options)) or fitted[-1])
+    rng = random.Random(7)
+    rows = [(i, int(rng.random() < (0.85 if i % 10 < 5 else 0.2)), float(i % 10), rng.random()) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, label int, used double, noise double")
+    kept, result = models.select_and_retrain(df, ["used", "noise"], models.boosted_trees(rounds=10_000, depth=1), folds=2, patience=2)
+    assert "used" in kept and result.train.count() == 400
+    assert len(fitted) == 3 and all(f.fitted < 100 for f in fitted)
